@@ -81,7 +81,7 @@ def followed(docs: DataFrame, columns: list[str]) -> DataFrame:
     own = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x > at)) if bounds else F.lit(0)
     largest = dict(docs.groupBy(own.alias("range")).agg(F.max(at)).collect())
     have = sorted(largest)
-    before = dict(zip(have, [have[-1], *have], strict=False))
+    before = dict(zip(have, [*have[-1:], *have], strict=False))
     if not have:
         have, largest, before = [0], {0: 0}, {0: 0}
     of = lambda values: F.get(F.array(*[F.lit(values.get(i, 0)).cast("long") for i in range(have[-1] + 1)]), F.col("_range"))
