@@ -23,10 +23,9 @@ def _types(s: np.ndarray) -> np.ndarray:
     """True for S suffixes. The last symbol is the smallest and occurs once."""
     n = len(s)
     differs = np.flatnonzero(s[1:] != s[:-1])  # i: s[i] != s[i + 1]
-    at = np.searchsorted(differs, np.arange(n - 1))
     is_s = np.ones(n, bool)
-    i = differs[np.minimum(at, len(differs) - 1)] if len(differs) else np.zeros(n - 1, np.int64)
-    is_s[:-1] = s[i] < s[i + 1]
+    if len(differs):  # each run of one symbol has the type of its last place
+        is_s[:-1] = np.repeat(s[differs] < s[differs + 1], np.diff(differs, prepend=-1))
     return is_s
 
 
@@ -57,17 +56,16 @@ def _induce(s: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
     sa = np.full(n, -1, np.int32)
     tails = start[1:] - 1
     _scatter(sa, tails, s[seeds[::-1]], seeds[::-1], -1)
-    wanted = np.zeros(n, bool)
+    # the symbol before each place if its suffix has the type in turn, else k; also for place -1, an empty slot
+    before = np.full(n + 1, k, s.dtype)
 
     def given(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What the entries induce: their index in part, the suffixes and their symbols."""
-        at = np.flatnonzero(part > 0)
-        where = part[at] - 1
-        right = wanted[where]
-        where = where[right]
-        return at[right], where, s[where]
+        chars = before[part]
+        at = np.flatnonzero(chars < k)
+        return at, part[at] - 1, chars[at]
 
-    wanted = ~is_s
+    before[1:n] = np.where(is_s[:-1], k, s[:-1])
     heads = start[:-1].copy()
     c, many = 0, 1 << 12
     while c < k:
@@ -98,7 +96,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
             c += 1
     for_s = np.repeat(np.stack([np.zeros(k, bool), np.ones(k, bool)], 1).ravel(), np.stack([middle - start[:-1], start[1:] - middle], 1).ravel())
     sa[for_s] = -1
-    wanted = is_s
+    before[1:n] = np.where(is_s[:-1], s[:-1], k)
     tails = start[1:] - 1
     sa[0], tails[0] = n - 1, tails[0] - 1  # the last suffix; no other induces it
     c, many = k, 1 << 12
@@ -145,8 +143,8 @@ def _names(s: np.ndarray, is_s: np.ndarray, order: np.ndarray, lms: np.ndarray)
         step = np.arange(n.sum()) - np.repeat(begin, n)
         equal = s[np.repeat(order[pairs], n) + step] == s[np.repeat(order[pairs - 1], n) + step]
         same[pairs] = np.logical_and.reduceat(equal, begin)
-    rank = np.cumsum(~same) - 1
-    name = np.empty(len(s), np.int64)
+    rank = np.cumsum(~same, dtype=np.int32) - 1
+    name = np.empty(len(s), np.int32)
     name[order] = rank
     return name[lms], int(rank[-1]) + 1
 
