@@ -169,10 +169,10 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
 def capped_plcp(text: np.ndarray, sa: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Permuted common prefixes, capped: for each of `places`, in text order, whether `length` bytes
     agree with the suffix before it in the array. Only those of `places` count as such suffixes."""
-    phi = np.full(len(text), -1, np.int64)
+    phi = np.full(len(text), -1, np.int32)
     ordered = sa[places[sa]]
     phi[ordered[1:]] = ordered[:-1]
-    place = np.flatnonzero(phi >= 0)
+    place = np.flatnonzero(phi >= 0).astype(np.int32)
     before = phi[place]
     steps = sorted({*range(0, length - 7, 8), max(length - 8, 0)}) if length >= 8 else range(length)
     words = np.ndarray((len(text) - 7,), np.uint64, text, strides=(1,)) if length >= 8 else text
@@ -198,17 +198,17 @@ def least_ids(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> tupl
     s = (np.cumsum(have) - 1).astype(np.uint16)[s]
     sa = suffix_array(s, int(have.sum()))
     count = size - length + 1
-    owner = np.full(len(s), -1, np.int64)
-    place = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    owner[place] = np.repeat(np.arange(len(texts)), count)
+    owner = np.full(len(s), -1, np.int32)
+    place = (np.repeat((begin - (np.cumsum(count) - count)).astype(np.int32), count) + np.arange(count.sum(), dtype=np.int32)).astype(np.int32)
+    owner[place] = np.repeat(np.arange(len(texts), dtype=np.int32), count)
     agree = capped_plcp(text, sa, owner >= 0, length)
     sa = sa[owner[sa] >= 0]
     new = ~agree[sa]
     new[0] = True
-    group = np.cumsum(new) - 1
-    best = np.minimum.reduceat(ids[owner[sa]], np.flatnonzero(new))
+    at = np.flatnonzero(new)
+    best = np.minimum.reduceat(ids[owner[sa]], at)
     out = np.empty(len(s), np.int64)
-    out[sa] = best[group]
+    out[sa] = np.repeat(best, np.diff(np.append(at, len(sa))))
     return out[place], count
 
 

@@ -33,9 +33,9 @@ from ledgerlark.llm.common import flat, text_size, word_bounds
 
 #: Ids compare as 64-bit integers; a missing id is larger than all others.
 NO_ID = np.iinfo(np.int64).max
-BUCKET_BYTES = 3 << 20
-OWNER_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
+OWNER_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 TILE = 1 << 16
 
 _rng = np.random.default_rng(20240229)
