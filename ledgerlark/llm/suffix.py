@@ -37,7 +37,13 @@ def _scatter(sa: np.ndarray, free: np.ndarray, chars: np.ndarray, where: np.ndar
     """Put each place at the next free slot of its symbol's bucket, in order; step is 1 from a bucket's head, -1 from its tail."""
     order = np.argsort(chars, kind="stable")
     chars = chars[order]
-    at = np.flatnonzero(np.concatenate([[True], chars[1:] != chars[:-1]]))
+    new = chars[1:] != chars[:-1]
+    if new.all():
+        slot = free[chars]
+        sa[slot] = where[order]
+        free[chars] = slot + step
+        return
+    at = np.concatenate([[0], np.flatnonzero(new) + 1])
     size = np.diff(np.append(at, len(chars)))
     rank = np.arange(len(chars)) - np.repeat(at, size)
     sa[free[chars] + step * rank] = where[order]

@@ -35,7 +35,7 @@ from ledgerlark.llm.common import flat, text_size, word_bounds
 NO_ID = np.iinfo(np.int64).max
 BUCKET_BYTES = 2 << 20
 OWNER_BYTES = 8 << 20
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 7 << 20
 TILE = 1 << 16
 
 _rng = np.random.default_rng(20240229)
@@ -242,7 +242,7 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
         out = {c: [] for c, _ in piece_types}
         for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
             own = [texts[i] for i in part.tolist()]
-            for c, v in (("shard", shard[part[0]]), ("bucket", key[0].as_py()), ("number", _packed(part.astype(np.int32))), ("lowest", _packed(lowest[part])), ("size", _packed(np.fromiter(map(len, own), np.int32, len(own)))), ("texts", b"".join(own))):
+            for c, v in (("shard", shard[part[0]]), ("bucket", key[0].as_py()), ("number", _packed(part.astype(np.int32))), ("lowest", _packed(lowest[part])), ("size", _packed(np.fromiter(map(len, own), np.int32, len(own)))), ("texts", pa.compress(b"".join(own), "zstd", asbytes=True))):
                 out[c].append(v)
         return pa.table({c: pa.array(out[c], kind) for c, kind in piece_types})
 
@@ -253,6 +253,7 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
         which, lowest = [], [np.frombuffer(x, np.int64) for x in table["lowest"].to_pylist()]
         for size, data in zip(table["size"].to_pylist(), table["texts"].to_pylist(), strict=True):
             end = np.cumsum(np.frombuffer(size, np.int32), dtype=np.int64)
+            data = pa.decompress(data, int(end[-1]), "zstd", asbytes=True)
             which.append(np.fromiter((seen.setdefault(data[x:y], len(seen)) for x, y in zip([0, *end[:-1].tolist()], end.tolist(), strict=True)), np.int64, len(end)))
         best = np.full(len(seen), NO_ID, np.int64)
         np.minimum.at(best, np.concatenate(which), np.concatenate(lowest))
