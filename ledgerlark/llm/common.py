@@ -55,6 +55,12 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return buf, at - at[0]
 
 
+def sorted_set(*parts: np.ndarray) -> np.ndarray:
+    """The distinct numbers of all parts, in order. The parts are nearly in order, where sorting beats hashing."""
+    x = np.sort(np.concatenate(parts), kind="stable")
+    return x[np.concatenate([np.ones(min(len(x), 1), bool), x[1:] != x[:-1]])]
+
+
 def word_bounds(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the number of words before each row. No word crosses rows."""
     inside = IS_WORD[buf]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import IS_WORD, flat, held_out, word_bounds
+from ledgerlark.llm.common import IS_WORD, flat, held_out, sorted_set, word_bounds
 from ledgerlark.llm.windows import _BYTE, mixed
 
 #: Labelled rows to learn from, at most: those with the least hash of their id. The one bound of this operator.
@@ -85,7 +85,7 @@ def features(column) -> np.ndarray:
     same[1:] = (word_hash[1:] == word_hash[:-1]) & (row[1:] == row[:-1])
     kinds, most = distinct(word_hash, row)
     newline = np.flatnonzero(buf == 10)
-    line_start = np.unique(np.concatenate([at[:-1][have], newline + 1]))
+    line_start = sorted_set(at[:-1][have], newline + 1)
     line_start = line_start[line_start < len(buf)]
     line_end = np.append(line_start[1:], len(buf))
     line_row = np.searchsorted(at, line_start, "right") - 1

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ledgerlark.llm.common import flat, word_bounds
+from ledgerlark.llm.common import flat, sorted_set, word_bounds
+from ledgerlark.llm.windows import _BYTE, mixed
 
 LENGTH, END_ID = 2048, 1
 SENTENCE, ELSEWHERE = 2.0, 24.0
@@ -28,7 +29,7 @@ SENTENCE, ELSEWHERE = 2.0, 24.0
 STRIDE = 256
 #: Padding of the last window that is taken rather than a split into powers of two.
 SPARE = 16
-CHUNK, CACHE = 4 << 20, 200_000
+CHUNK, CACHE = 4 << 20, 600_000
 PIECES = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))])
 DDL = ", ".join(f"{f.name} long" for f in PIECES)
 
@@ -39,15 +40,49 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A text with this may hold a special token, which is matched before any other step.
+MARK = b"<|"
+SPLITTER = "<|startoftext|>"
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_LETTER, _POINT = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[0x61:0x7B] = True
+_POINT[list(b".,;:!?")] = True
+
+
+def types(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One run of each different content, and for each run the number of its content."""
+    size = ends - starts
+    if not len(size):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    offset = np.cumsum(size) - size
+    index = np.repeat(np.arange(len(size)), size)
+    rel = np.arange(int(size.sum())) - offset[index]
+    letters = low[starts[index] + rel]
+    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(size.max()), np.uint64(0x9E3779B97F4A7C15))]).astype(np.uint64))
+    _, one, code = np.unique(mixed(np.add.reduceat(_BYTE[letters] * power[rel], offset)), return_index=True, return_inverse=True)
+    if (size == size[one][code]).all() and (letters == low[starts[one][code][index] + rel]).all():
+        return one, code
+    # two contents with one hash: by the bytes themselves
+    data = low.tobytes()
+    _, one, code = np.unique(np.array([data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], object), return_index=True, return_inverse=True)
+    return one, code
+
+
 class Encoder:
-    """Ids of texts. This tokenizer drops white space and no merge crosses it, so each run of other
-    characters is encoded once and its ids kept for the next time."""
+    """Ids of texts.
+
+    This tokenizer lower-cases, drops white space and merges neither across it nor between a letter
+    and a full stop, comma or the like. So each run of other characters is encoded once, without the
+    case of A-Z and apart from the points after it, and its ids are kept for the next time.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.splitter = self.tokenizer.token_to_id(SPLITTER)
         self.clear()
 
     def clear(self) -> None:
@@ -55,21 +90,39 @@ class Encoder:
         self.parts: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
 
+    def encode(self, fresh: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all runs, one after the other, and each run's number of ids."""
+        if plain and self.splitter is not None:
+            # special tokens divide a text before anything else happens to it
+            ids = np.array(self.tokenizer.encode_batch_fast([SPLITTER.join(fresh)], add_special_tokens=False)[0].ids, np.uint32)
+            at = np.flatnonzero(ids == self.splitter)
+            if len(at) == len(fresh) - 1:
+                return np.delete(ids, at), np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        return np.fromiter((i for ids in got for i in ids), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
     def __call__(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids with END_ID after each row, each row's bounds, and the places where a sentence or line ends."""
         if len(self.known) > CACHE:
             self.clear()
         buf, at = flat(column)
+        plain = MARK not in buf.tobytes()
+        if plain:
+            buf = _LOWER[buf]
         starts, ends, first = word_bounds(buf, at)
+        if plain and len(buf):
+            cut = np.flatnonzero(_LETTER[buf[:-1]] & _POINT[buf[1:]]) + 1
+            starts, ends = sorted_set(starts, cut), sorted_set(ends, cut)
+            first = np.searchsorted(starts, at)
         data = buf.tobytes()
-        runs = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        one, code = types(buf, starts, ends)
+        runs = [data[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]
         known, before = self.known, len(self.known)
-        code = np.fromiter((known.setdefault(x, len(known)) for x in runs), np.int64, len(runs))
+        code = np.fromiter((known.setdefault(x, len(known)) for x in runs), np.int64, len(runs))[code]
         if len(known) > before:
-            fresh = [x.decode("utf-8", "replace") for x in list(known)[before:]]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            self.sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
-            self.parts.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(self.sizes[-1].sum())))
+            ids, sizes = self.encode([x.decode("utf-8", "replace") for x in list(known)[before:]], plain)
+            self.parts.append(ids)
+            self.sizes.append(sizes)
             if len(self.parts) > 1:
                 self.sizes, self.parts = [np.concatenate(self.sizes)], [np.concatenate(self.parts)]
         sizes = self.sizes[0] if self.sizes else np.zeros(0, np.int64)
@@ -93,11 +146,11 @@ def cuts(bounds: np.ndarray, sentences: np.ndarray, final: bool) -> np.ndarray:
     """Where windows end, in a stream of documents that begins with a window. Unless final, what
     follows the last cut has no whole window's length yet."""
     n = int(bounds[-1])
-    edge = np.unique(np.concatenate([bounds, sentences]))
+    edge = sorted_set(bounds, sentences)
     gap = np.diff(edge)
     wide = np.flatnonzero(gap > STRIDE)
     more = [np.arange(edge[i] + STRIDE, edge[i + 1], STRIDE) for i in wide.tolist()]
-    place = np.unique(np.concatenate([edge, *more]))
+    place = sorted_set(edge, *more)
     penalty = np.full(len(place), ELSEWHERE)
     penalty[np.searchsorted(place, sentences)] = SENTENCE
     penalty[np.searchsorted(place, bounds)] = 0.0
@@ -154,7 +207,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         def emit(ids, bounds, ends, doc_id, start, total) -> pa.RecordBatch:
             nonlocal sequence
             stop = int(ends[-1]) if len(ends) else 0
-            edge = np.unique(np.concatenate([[0], bounds[bounds <= stop], ends]))
+            edge = sorted_set([0], bounds[bounds <= stop], ends)
             a, b = edge[:-1], edge[1:]
             which = np.searchsorted(bounds, a, "right") - 1
             window = np.searchsorted(ends, a, "right")
