@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,15 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release() -> None:
+    """Give freed memory back to the system. Python workers outlive their tasks, and what the largest
+    task of one stage has freed would stay theirs in all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_size(docs: DataFrame) -> tuple[int, int]:
     """Rows and bytes of text; one aggregate over the table, nothing else reaches the driver."""
     n, b = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()

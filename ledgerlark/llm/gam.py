@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import IS_WORD, flat, held_out, sorted_set, word_bounds
+from ledgerlark.llm.common import IS_WORD, flat, held_out, release, sorted_set, word_bounds
 from ledgerlark.llm.windows import _BYTE, mixed
 
 #: Labelled rows to learn from, at most: those with the least hash of their id. The one bound of this operator.
@@ -243,6 +243,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part in _chunked(batch):
                 yield part.filter(pa.array(shared.value.score(features(part["text"])) >= THRESHOLD))
+        release()
 
     own = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "cast(lang as string) lang", "cast(source as string) source", "cast(n_chars as long) n_chars")
     return own.select(*columns).mapInArrow(run, own.schema)

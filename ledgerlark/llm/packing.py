@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ledgerlark.llm.common import flat, sorted_set, word_bounds
+from ledgerlark.llm.common import flat, release, sorted_set, word_bounds
 from ledgerlark.llm.windows import _BYTE, mixed
 
 LENGTH, END_ID = 2048, 1
@@ -29,7 +29,7 @@ SENTENCE, ELSEWHERE = 2.0, 24.0
 STRIDE = 256
 #: Padding of the last window that is taken rather than a split into powers of two.
 SPARE = 16
-CHUNK, CACHE = 4 << 20, 600_000
+CHUNK, CACHE = 1 << 20, 600_000
 PIECES = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))])
 DDL = ", ".join(f"{f.name} long" for f in PIECES)
 
@@ -192,13 +192,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """One row per piece of a document in a sequence of at most LENGTH ids.
 
     A null or empty text is its end id alone. Documents keep their partition's order; each partition
-    packs by itself, in parts of a few MB, and carries an open window from part to part, so memory
+    packs by itself, in parts of about a MB, and carries an open window from part to part, so memory
     does not grow and nothing is shuffled. Rows that repeat an id are packed each. Other columns are
     not read. An empty table gives no pieces.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         encoder = None
         sequence = TaskContext.get().partitionId() << 40
         # the open window: its documents' ids, starts, totals and tokens

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import flat, shared_checkpoint, word_bounds
+from ledgerlark.llm.common import flat, release, shared_checkpoint, word_bounds
 
 BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
 #: Fingerprints that a shard should have, about.
@@ -224,6 +224,7 @@ def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             at = [0, *(np.flatnonzero(np.diff(size // CHUNK)) + 1).tolist(), batch.num_rows]
             prints = np.concatenate([fingerprints(batch["text"].slice(a, b - a)) for a, b in zip(at, at[1:], strict=False)])
             yield pa.record_batch([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "print"])
+        release()
 
     own = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, "doc_id long, print long")
     own = shared_checkpoint(own)

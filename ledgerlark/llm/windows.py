@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import flat, text_size, word_bounds
+from ledgerlark.llm.common import flat, release, text_size, word_bounds
 
 #: Ids compare as 64-bit integers; a missing id is larger than all others.
 NO_ID = np.iinfo(np.int64).max
@@ -258,6 +258,7 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
         best = np.full(len(seen), NO_ID, np.int64)
         np.minimum.at(best, np.concatenate(which), np.concatenate(lowest))
         result, count = solve(list(seen), best)
+        release()
         # runs of equal ids within each piece
         stop = np.cumsum(count)
         new = np.concatenate([[True], result[1:] != result[:-1]])
@@ -309,7 +310,9 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
                 for a, b in zip(stop[run_id < ids[row[i]]] - run_size[run_id < ids[row[i]]], stop[run_id < ids[row[i]]], strict=True):
                     removed[start[i] + a] += 1
                     removed[start[i] + b + length - 1] -= 1
-        return digest(table, t, np.cumsum(removed[:-1]) > 0)
+        out = digest(table, t, np.cumsum(removed[:-1]) > 0)
+        release()
+        return out
 
     by = dealt.groupBy("bucket")
     packed = by.applyInArrow(label_sets, "owner long, bucket long, packed binary")
