@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import flac, fmindex, gam, langid, license_scan, merkle, mixing, packing, simhash, suffix
+from ledgerlark.llm import flac, fmindex, gam, langid, license_scan, merkle, mixing, packing, simhash, sql, suffix
 from ledgerlark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,4 +59,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLES)
