@@ -7,6 +7,11 @@ fingerprints form a BK-tree: a child hangs on its parent's edge with their Hammi
 search follows only the edges within the radius. Trees are built where their shard is, since all of
 them together grow with the corpus and could not be broadcast. A shard gives a spanning forest of
 its links; a distributed star contraction joins the shards' forests.
+
+The pipeline keeps one document of each group whose sets of five-word shingles have a Jaccard
+similarity of 0.8 or more. No number of differing bits bounds that, so its candidates come from a
+prefix filter, which misses none: sets that similar share one of their first size // 5 + 1 shingles
+in any common order. Candidates count after their exact similarity only.
 """
 
 from __future__ import annotations
@@ -23,6 +28,10 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.common import flat, release, shared_checkpoint, word_bounds
 
 BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
+#: Words of a shingle in the pipeline's stage; its similarity is 4 / 5, in whole numbers where it is used.
+WORDS = 5
+#: Shingles that come last in the order of prefixes: those in COMMON sampled texts or more, the MOST_COMMON first.
+COMMON, MOST_COMMON = 4, 1 << 17
 #: Fingerprints that a shard should have, about.
 SHARD = 64
 CHUNK = 1 << 21
@@ -34,8 +43,8 @@ _LOWER[0x41:0x5B] += 32
 _SPREAD = np.array([sum(((i >> b) & 1) << (8 * b) for b in range(8)) for i in range(256)], np.uint64)
 
 
-def fingerprints(column, shingle: int = SHINGLE) -> np.ndarray:
-    """SimHash of each row: bit b is 1 if it is in over half of the shingles' hashes; 0 for a row without words."""
+def shingle_hashes(column, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all rows' shingles, one row after the other, and each row's number of them. A text of fewer words is one shingle."""
     buf, at = flat(column)
     buf = _LOWER[buf]
     starts, ends, first = word_bounds(buf, at)
@@ -52,6 +61,12 @@ def fingerprints(column, shingle: int = SHINGLE) -> np.ndarray:
     stop = np.minimum(begin + shingle, first[1:][row])
     data, digest = text.tobytes(), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(data[a:b], SEED) for a, b in zip(place[begin].tolist(), (place[stop] - 1).tolist(), strict=True)), np.uint64, len(begin))
+    return hashes, count
+
+
+def fingerprints(column, shingle: int = SHINGLE) -> np.ndarray:
+    """SimHash of each row: bit b is 1 if it is in over half of the shingles' hashes; 0 for a row without words."""
+    hashes, count = shingle_hashes(column, shingle)
     out = np.zeros(len(count), np.uint64)
     if not len(hashes):
         return out
@@ -70,6 +85,14 @@ def fingerprints(column, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of CHUNK bytes of text, about."""
+    size = np.cumsum(np.diff(flat(batch["text"])[1]))
+    at = [0, *(np.flatnonzero(np.diff(size // CHUNK)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(at, at[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 class Forest:
     """BK-trees, one per group, over distinct numbers; items of a group hang below its first item."""
 
@@ -208,7 +231,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def print_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, print, component_id of every row.
 
     A null, empty or blank text has print 0 and is linked like any other. Equal prints are one node,
@@ -220,9 +243,7 @@ def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            size = np.cumsum(np.diff(flat(batch["text"])[1]))
-            at = [0, *(np.flatnonzero(np.diff(size // CHUNK)) + 1).tolist(), batch.num_rows]
-            prints = np.concatenate([fingerprints(batch["text"].slice(a, b - a)) for a, b in zip(at, at[1:], strict=False)])
+            prints = np.concatenate([fingerprints(part["text"]) for part in chunks(batch)])
             yield pa.record_batch([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "print"])
         release()
 
@@ -240,17 +261,201 @@ def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def group_digest(docs: DataFrame) -> DataFrame:
-    return grouped(docs).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    return print_groups(docs).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' distinct shingle hashes, in order, one row after the other, and where each row's end and the next one's begin."""
+    hashes, count = shingle_hashes(batch["text"], WORDS)
+    row = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    return hashes[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(count)))]).astype(np.int64)
+
+
+def common_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles that many of the sampled texts have, the rarest first; at most MOST_COMMON reach the driver.
+
+    Any order gives all pairs. With these last, prefixes hold rare shingles and few rows meet.
+    """
+    every = min(16, max(1, docs.count() // 4096))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch) if batch.num_rows else ():
+                yield pa.record_batch([pa.array(shingle_sets(part)[0].view(np.int64))], ["shingle"])
+        release()
+
+    some = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(every)) == 0).mapInArrow(run, "shingle long")
+    rows = some.groupBy("shingle").count().filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).collect()
+    return np.array([r["shingle"] for r in rows[::-1]], np.int64).view(np.uint64)
+
+
+def nodes_of(docs: DataFrame) -> DataFrame:
+    """Per row doc_id, same (a hash of its text), node (a hash of its shingle set), size of the set, and the set's prefix.
+
+    Only the first row of a node that a task meets has the prefix.
+    """
+    common = common_shingles(docs)
+    rank = np.argsort(common)
+    common = common[rank]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for part in chunks(batch) if batch.num_rows else ():
+                hashes, at = shingle_sets(part)
+                data, size = hashes.tobytes(), np.diff(at)
+                node = np.array([xxhash.xxh64_intdigest(data[8 * a : 8 * b], SEED) for a, b in zip(at, at[1:], strict=False)], np.uint64).view(np.int64)
+                level = np.zeros(len(hashes), np.int64)
+                if len(common):
+                    where = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+                    level = np.where(common[where] == hashes, rank[where] + 1, 0)
+                row = np.repeat(np.arange(len(size)), size)
+                order = np.lexsort((hashes, level, row))
+                first = np.zeros(len(size), bool)
+                for i, x in enumerate(node.tolist()):
+                    first[i] = x not in seen
+                    seen.add(x)
+                many = np.where(first & (size > 0), size // 5 + 1, 0)
+                take = (np.arange(len(row)) - at[row]) < many[row]
+                prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(hashes[order][take].view(np.int64)))
+                yield pa.record_batch([part["doc_id"], part["same"], pa.array(node), pa.array(size.astype(np.int32)), prefix], ["doc_id", "same", "node", "size", "prefix"])
+        release()
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", F.xxhash64("text", F.lit(SEED)))
+    return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>"))
+
+
+def _by_shingle(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The columns by shingle, size and node without repeated rows, each row's run of equal shingles, and the runs' lengths."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return [np.zeros(0, np.int64) for _ in columns], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    table = pa.Table.from_batches(parts)
+    own = {c: np.asarray(table[c].combine_chunks()) for c in columns}
+    order = np.lexsort((own["node"], own["size"], own["shingle"]))
+    own = {c: x[order] for c, x in own.items()}
+    new = np.ones(len(order), bool)
+    new[1:] = (own["shingle"][1:] != own["shingle"][:-1]) | (own["node"][1:] != own["node"][:-1])
+    own = {c: x[new] for c, x in own.items()}
+    begin = np.ones(len(own["shingle"]), bool)
+    begin[1:] = own["shingle"][1:] != own["shingle"][:-1]
+    run = np.cumsum(begin) - 1
+    return list(own.values()), run, np.bincount(run)
+
+
+def _may_be(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m shingles that share the i-th and j-th in order can be similar enough."""
+    n, i, m, j = (x.astype(np.int64) for x in (n, i, m, j))
+    most = np.minimum(i, j) + 1 + np.minimum(n - i, m - j) - 1
+    return 9 * most >= 4 * (n + m)
+
+
+def similar(own: DataFrame, docs: DataFrame) -> DataFrame:
+    """Edges (a, b) that join the nodes as all pairs with Jaccard similarity >= 0.8 do.
+
+    First each row is compared with one row of each shingle of its prefix, so that a large group is
+    one component without all of its pairs; then all pairs of different components are.
+    """
+    columns = ["shingle", "node", "size", "at"]
+    rows = own.select("node", "size", F.posexplode("prefix").alias("at", "shingle"))
+    parts = max(12, (own.agg(F.sum(F.size("prefix"))).first()[0] or 0) // 500_000)
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (shingle, node, size, at), run, length = _by_shingle(batches, columns)
+        if not len(run):
+            return
+        by_node = np.lexsort((node, run))
+        _, begin = np.unique(run, return_index=True)
+        lead = by_node[begin][run]
+        ok = _may_be(size, at, size[lead], at[lead]) & (node != node[lead])
+        # a run of two that cannot be similar enough has no other pair
+        keep = (length[run] > 2) | (np.bincount(run, weights=ok) > 0)[run]
+        yield pa.record_batch([pa.array(x[keep]) for x in (shingle, node, size, at)] + [pa.array(node[lead][keep], mask=~ok[keep])], [*columns, "lead"])
+        release()
+
+    runs = shared_checkpoint(rows.repartition(parts, "shingle").mapInArrow(shared, "shingle long, node long, size int, at int, lead long"))
+
+    # one row's text stands for its node
+    one = own.join(runs.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "same")).alias("row"))
+    one = one.select("node", F.col("row.doc_id").alias("_id"), F.col("row.same").alias("_same"))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch) if batch.num_rows else ():
+                hashes, at = shingle_sets(part)
+                yield pa.record_batch([part["node"], pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))], ["node", "items"])
+        release()
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", F.xxhash64("text", F.lit(SEED)))
+    texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same"))).select("node", "text")
+    # a repeated row gives its set, and so an edge, once more
+    sets = shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
+
+    def check(pairs: DataFrame) -> DataFrame:
+        left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("one")), sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
+        both = pairs.distinct().join(left, "a").join(right, "b")
+        return both.filter(9 * F.size(F.array_intersect("one", "two")) >= 4 * (F.size("one") + F.size("two"))).select("a", "b")
+
+    edges = shared_checkpoint(check(runs.filter("lead is not null").select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b"))))
+    joined = components(edges).withColumnRenamed("id", "node")
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (_, node, size, at, component), run, length = _by_shingle(batches, [*columns, "component"])
+        if not len(run):
+            return
+        mixed = np.zeros(len(length), bool)
+        other = np.flatnonzero((run[1:] == run[:-1]) & (component[1:] != component[:-1]))
+        mixed[run[other]] = True
+        left, step = np.flatnonzero(mixed[run]), 1
+        while len(left):
+            left = left[left + step < len(run)]
+            # sizes grow within a run: where the next one is too large, all later ones are
+            left = left[(run[left + step] == run[left]) & (5 * size[left].astype(np.int64) >= 4 * size[left + step].astype(np.int64))]
+            x, y = left, left + step
+            ok = (component[x] != component[y]) & _may_be(size[x], at[x], size[y], at[y])
+            if ok.any():
+                a, b = node[x[ok]], node[y[ok]]
+                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+            step += 1
+        release()
+
+    named = runs.drop("lead").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return edges.unionAll(check(named.repartition(max(12, parts // 4), "shingle").mapInArrow(apart, "a long, b long")))
+
+
+def similar_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, same, node of each row; and node, component. Rows without words have the empty set and are one node."""
+    own = nodes_of(docs)
+    joined = components(similar(own, docs)).withColumnRenamed("id", "node")
+    nodes = own.select("node").distinct().join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return own.select("doc_id", "same", "node"), nodes
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, component_id of every row: the least doc_id of the rows that chains of similar shingle sets reach, null where none has an id."""
+    own, nodes = similar_groups(docs)
+    named = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(nodes, "node")
+    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return own.join(named.join(lowest, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose group has a smaller doc_id.
+    """docs without the rows whose group of similar shingle sets has a smaller doc_id.
 
     Rows that repeat the kept id become one row, of the least text. Where no row of a group has an id
     all of them stay: nothing tells them apart from rows of another table.
     """
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = grouped(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(*columns).join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    with_id = rows.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct(*columns[1:])).alias("_row")).select("doc_id", "_row.*")
-    return with_id.unionByName(rows.filter(F.col("doc_id").isNull()))
+    own, nodes = similar_groups(docs)
+    named = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(nodes, "node")
+    least = named.groupBy("component").agg(F.min("least").alias("_id"))
+    # an equality keeps the join's and the aggregate's keys alike, so texts are shuffled once
+    with_id = docs.select(*columns).join(least.select(F.col("_id").alias("doc_id")).filter("doc_id is not null").distinct(), "doc_id")
+    with_id = with_id.groupBy("doc_id").agg(F.min(F.struct(*columns[1:])).alias("_row")).select("doc_id", "_row.*")
+    bare = own.filter("doc_id is null").join(named.join(least.filter("_id is null"), "component"), "node", "left_semi").select("same").distinct()
+    without = docs.select(*columns).filter("doc_id is null").join(bare, F.xxhash64(F.col("text").cast("string"), F.lit(SEED)) == F.col("same"), "left_semi")
+    return with_id.unionByName(without)

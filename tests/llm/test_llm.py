@@ -222,6 +222,45 @@ def test_op4_keeps_one(odd, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def shingle_set(text, n=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
+
+
+@pytest.mark.parametrize("common", [4, 10**9])
+def test_pipeline_keeps_one_of_each_similar_group(spark, monkeypatch, common):
+    """Against brute-force Jaccard of five-word shingles, with pairs just above and below 0.8 and near copies of near copies."""
+    monkeypatch.setattr(simhash, "COMMON", common)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    word = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    own, line = [], "one line that very many of the documents of this table have in common "
+    for i in range(40):
+        base = word(i, 104).split()
+        own += [" ".join(base), " ".join(base[: 90 + i % 4]), " ".join(base[:60] + ["other"] + base[61:]), " ".join(base[:30] + ["A", "b"] + base[32:60] + ["c"] + base[61:])]
+        own += [line + word(f"y{i}", 3 + i), " ".join(base[10:] + ["z"] * 12)]
+    more = spark.createDataFrame([(10**6 + i, t, "en", "a", len(t)) for i, t in enumerate(own)], docs.schema)
+    rows = docs.unionByName(more).collect()
+    sets = [shingle_set(r.text) for r in rows]
+    where, group = defaultdict(list), list(range(len(rows)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, s in enumerate(sets):
+        for j in {j for x in s for j in where[x]} if s else ():
+            if 9 * len(s & sets[j]) >= 4 * (len(s) + len(sets[j])):
+                group[top(i)] = top(j)
+        for x in s:
+            where[x].append(i)
+    least = {}
+    for i, r in enumerate(rows):
+        least[top(i)] = min(least.get(top(i), r.doc_id), r.doc_id)
+    assert len(least) < len(rows) - 100
+    assert sorted(r.doc_id for r in simhash.keep_one(docs.unionByName(more)).collect()) == sorted(least.values())
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_op5(request, rows, which):
     df, rows = request.getfixturevalue(which), rows if which == "docs" else odd_rows()
