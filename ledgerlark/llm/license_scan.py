@@ -3,7 +3,8 @@
 The templates below are indexed by their rarest words: postings (word -> template, place in it).
 Rarity is measured, each template word's document frequency is counted over all documents. In each
 text the postings of its indexed words are shifted by the word's place; shifts on which enough rare
-words agree are candidate places of a template. A candidate stands only if the template's mandatory
+words agree are candidate places of a template. The key phrase's own rarest words are indexed too, so
+every place where it stands is a candidate, whatever the corpus's frequencies. A candidate stands only if the template's mandatory
 key phrase is there word for word. Its score is the part of the template's IDF weight found in place.
 """
 
@@ -47,7 +48,7 @@ TEMPLATES = (
     Template("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-#: Indexed words of a template, and how many of them must agree on a place.
+#: Indexed words of a template besides the AGREE rarest of its key, and how many of them must agree on a place.
 RARE, AGREE = 4, 2
 
 
@@ -80,9 +81,11 @@ def scan(docs: DataFrame) -> DataFrame:
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-9 for t in TEMPLATES for w in t.text.split()}
     postings: dict[str, list[tuple[int, int]]] = {}
     for i, t in enumerate(TEMPLATES):
-        own = t.text.split()
-        rare = sorted(range(len(own)), key=lambda j: (-idf[own[j]], j))[:RARE]
-        for j in rare:
+        own, key = t.text.split(), t.key.split()
+        offset = next(o for o in range(len(own)) if own[o : o + len(key)] == key)
+        by_rarity = sorted(range(len(own)), key=lambda j: (-idf[own[j]], j))
+        of_key = [j for j in by_rarity if offset <= j < offset + len(key)]
+        for j in sorted({*by_rarity[:RARE], *of_key[:AGREE]}):
             postings.setdefault(own[j], []).append((i, j))
     starts = {p.split()[0] for p in BASE}
     anchors = sorted(starts | set(postings))

@@ -287,6 +287,16 @@ def test_op5_own_labels(spark):
     assert got[1].labels == "" and got[1].score == 0
 
 
+@pytest.mark.parametrize("common", ["mozilla eclipse affero charge unencumbered", "subject terms made available permission binary", ""])
+def test_op5_finds_every_key(spark, common):
+    """Each key phrase by itself, and in other wordings, whatever words the corpus has often."""
+    keys = [(i, f"x {t.key} y", t.label) for i, t in enumerate(license_scan.TEMPLATES)]
+    keys += [(100, "licensed under the Mozilla Public License 2.0", "mpl"), (101, "licensed under the Eclipse Public License 2.0", "epl")]
+    rows = [(i, t) for i, t, _ in keys] + [(1000 + i, common) for i in range(50)]
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [label for i, _, label in keys if label not in got[i]] == []
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_op6(request, rows, which):
     df, rows = request.getfixturevalue(which), rows if which == "docs" else odd_rows()
