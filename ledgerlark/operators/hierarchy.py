@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_LEVELS = 32
+#: Levels up to which plans of all rounds are kept; lineage is cut beyond.
+PLAN_LEVELS = 32
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder and read again."""
+    session = df.sparkSession
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or "/tmp/ledgerlark-checkpoints")
+    at = f"{session.sparkContext.getCheckpointDir()}/closure-{uuid.uuid4()}"
+    df.write.parquet(at)
+    return session.read.parquet(at)
 
 
-def closure(edges: DataFrame, node: str = "node", parent: str = "parent", levels: int = MOST_LEVELS) -> DataFrame:
+def closure(edges: DataFrame, node: str = "node", parent: str = "parent", levels: int | None = None) -> DataFrame:
     """(node, ancestor, distance) for each node and each of its ancestors, by doubling.
 
     Each round joins the pairs found so far with themselves, so a tree of depth d takes log2(d)
-    rounds. Rounds end where they find nothing new, or at `levels`, which also ends cycles.
+    rounds. Rounds end where they find nothing new; a node that is its own ancestor by way of others
+    raises ValueError. With `levels` they also end there, which ends cycles without an error.
     """
     step = edges.filter(F.col(parent).isNotNull() & (F.col(parent) != F.col(node))).select(F.col(node).alias("node"), F.col(parent).alias("ancestor")).distinct()
     known = step.withColumn("distance", F.lit(1).cast("long"))
     reach = 1
-    while reach < levels:
+    while levels is None or reach < levels:
         far = known.filter(F.col("distance") == reach).alias("a").join(known.alias("b"), F.col("a.ancestor") == F.col("b.node"))
         more = far.select("a.node", "b.ancestor", (F.lit(reach) + F.col("b.distance")).alias("distance"))
+        if reach >= PLAN_LEVELS:
+            more = _cut(more.distinct())
         if more.isEmpty():
             break
         known = known.unionByName(more)
         reach *= 2
+        if reach >= PLAN_LEVELS:
+            known = _cut(known)
+            if levels is None and not known.filter("node = ancestor").isEmpty():
+                raise ValueError("a node is its own ancestor")
     return known.groupBy("node", "ancestor").agg(F.min("distance").alias("distance"))
 
 

@@ -162,6 +162,16 @@ def test_hierarchy(spark):
     assert tuple(hierarchy.merged(rows, "k", "at", ["f", "g"]).first()) == ("x", "p", "q")
 
 
+def test_hierarchy_without_a_limit(spark):
+    deep = spark.createDataFrame([(i, i - 1 if i else None) for i in range(71)], "node int, parent int")
+    assert hierarchy.closure(deep).count() == 71 * 70 // 2
+    assert {r.root for r in hierarchy.roots_of(deep).collect()} == {0}
+    for n in (2, 3, 40):
+        cycle = spark.createDataFrame([(i, (i + 1) % n) for i in range(n)], "node int, parent int")
+        with pytest.raises(ValueError):
+            hierarchy.closure(cycle)
+
+
 def test_positions_beyond_sizes_raise(spark):
     groups = spark.createDataFrame([(0, "I", 1)], "place int, theme string, size int")
     with pytest.raises(Exception, match="more rows"):
