@@ -37,12 +37,26 @@ def options(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")).select("x.*").distinct()
 
 
-def leaderboard(rows: DataFrame, key: str, total: Column, missing: Column, k: int = 12) -> DataFrame:
-    """The k keys with the largest positive totals, ties by key, and the missing share."""
-    out = rows.groupBy(key).agg(F.sum(total).alias("total"), F.sum(missing).alias("missing")).filter("total > 0")
-    return out.withColumn("share", percent(F.col("missing"), F.col("total"))).orderBy(F.desc("total"), key).limit(k)
+def leaderboard(rows: DataFrame, key: str, total: Column, missing: Column, k: int = 12, order: Column | None = None) -> DataFrame:
+    """The k keys with the largest positive totals, and the missing share; ties by the key's first row in `order`, if given, then by key."""
+    seen = F.min(order) if order is not None else F.lit(0)
+    out = rows.groupBy(key).agg(F.sum(total).alias("total"), F.sum(missing).alias("missing"), seen.alias("_seen")).filter("total > 0")
+    return out.withColumn("share", percent(F.col("missing"), F.col("total"))).orderBy(F.desc("total"), "_seen", key).limit(k).drop("_seen")
 
 
-def by_group(rows: DataFrame, key: str, total: Column, lists: list[str], mark: str = "/") -> DataFrame:
-    """Per key: the total, and the distinct values of each listed column, in order, joined."""
-    return rows.groupBy(key).agg(F.sum(total).alias("total"), *[F.array_join(F.array_sort(F.collect_set(c)), mark).alias(c) for c in lists])
+def largest_total(groups: DataFrame, total: str = "total") -> DataFrame:
+    """One row: the largest total, 1 at least, and the first row's fallback of 0 over no rows."""
+    return groups.agg(F.greatest(F.coalesce(F.max(total), F.lit(1)), F.lit(1)).alias("top"), F.coalesce(F.max(total), F.lit(0)).alias("largest"))
+
+
+def by_group(rows: DataFrame, key: str, total: Column, lists: list[str], mark: str = "/", order: Column | None = None) -> DataFrame:
+    """Per key: the total, and the distinct values of each listed column, in order, joined; `first_seen`, the key's first row, if order is given."""
+    seen = [F.min(order).alias("first_seen")] if order is not None else []
+    return rows.groupBy(key).agg(F.sum(total).alias("total"), *[F.array_join(F.array_sort(F.collect_set(c)), mark).alias(c) for c in lists], *seen)
+
+
+def sections(cards: DataFrame, section: str, facets: dict[str, str]) -> DataFrame:
+    """Per section the cards that the facets show, whether the section is hidden, and whether nothing at all is shown."""
+    per = cards.groupBy(section).agg(F.count_if(matching(facets)).alias("shown"))
+    empty = per.agg(F.coalesce(F.max("shown"), F.lit(0)).alias("_most"))  # one row
+    return per.crossJoin(F.broadcast(empty)).select(section, "shown", (F.col("shown") == 0).alias("hidden"), (F.col("_most") == 0).alias("empty"))

@@ -16,17 +16,29 @@ def unpivot_grid(grid: DataFrame, value: str = "level") -> DataFrame:
     return long.select("year", "month", F.make_date("year", month_number(F.col("month")), F.lit(1)).alias("date"), value)
 
 
-def pivot_grid(rows: DataFrame, year: str, month: str, value: str, check: bool = True) -> DataFrame:
-    """(year, month name, value) to a grid in the months' order; other names are dropped, two values of a cell raise."""
+def pivot_grid(rows: DataFrame, year: str, month: str, value: str, check: bool = True, complete: bool = False) -> DataFrame:
+    """(year, month name, value) to a grid in the months' order; other names are dropped, two values of a cell raise.
+
+    A month that no year has is a column of nulls, or raises KeyError where the grid must be `complete`.
+    """
+    if complete:
+        have = {r[0] for r in rows.select(month).filter(F.col(month).isin(*MONTHS)).distinct().collect()}  # twelve names at most
+        if missing := [m for m in MONTHS if m not in have]:
+            raise KeyError(f"no values of {missing}")
     one = F.first(value)
     if check:
         one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two values of one month")).cast("double")).otherwise(one)
     return rows.filter(F.col(month).isin(*MONTHS)).groupBy(F.col(year).alias("year")).pivot(month, list(MONTHS)).agg(one)
 
 
-def keep_last(parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Whole rows of the last part that has a key; a row replaced loses all its cells."""
-    tagged = [p.select(*keys, F.struct(F.lit(i).alias("_at"), F.struct(*[c for c in parts[0].columns if c not in keys]).alias("_row")).alias("_last")) for i, p in enumerate(parts)]
+def keep_last(parts: list[DataFrame], keys: list[str], order: str | None = None) -> DataFrame:
+    """Whole rows of the last part that has a key; a row replaced loses all its cells.
+
+    Of rows that repeat a key inside a part the last by `order` counts; without it the largest row does.
+    """
+    others = [c for c in parts[0].columns if c not in keys]
+    place = lambda i: F.struct(F.lit(i).alias("part"), (F.col(order) if order else F.lit(0)).alias("at"), F.struct(*others).alias("row"))
+    tagged = [p.select(*keys, F.struct(place(i).alias("_at"), F.struct(*others).alias("_row")).alias("_last")) for i, p in enumerate(parts)]
     last = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(F.max_by("_last._row", "_last._at").alias("_row"))
     return last.select(*keys, "_row.*").select(*parts[0].columns)
 

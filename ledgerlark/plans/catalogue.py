@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlark import functions as fn
 from ledgerlark import sources, streaming
 from ledgerlark.operators import catalog, facets, hierarchy, ingest, periods, timeseries
+from ledgerlark.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -19,7 +20,7 @@ _sql: dict[str, str] = {}
 PERIODS = [(104, "1995-01-01", "1997-01-01", "Red", "Blue"), (105, "1997-01-01", "1999-01-01", "Red", "Red"), (106, "1999-01-01", "2001-01-01", "Blue", "Red"), (107, "2001-01-01", "present", "Blue", "Blue"), (108, "2030-01-01", "2032-01-01", "Red", "Red")]
 AS_OF = "2001-06-30"
 _PERIODS_SQL = "(VALUES " + ", ".join(f"({p}, '{s}', '{AS_OF if e == 'present' else e}', '{h}', '{n}')" for p, s, e, h, n in PERIODS) + ") p(period, start_, end_, house, senate)"
-THEMES = [("I", 4), ("II", 5), ("III", 5), ("IV", 20)]
+THEMES = [("I", 3), ("II", 8), ("III", 2), ("IV", 12)]
 LONG_NAMES = ", ".join(f"'{m}'" for m in fn.MONTHS)
 
 
@@ -71,9 +72,11 @@ def period_bucket_lexical(spark, sf_dir):
     return periods.in_period(rows, _dimension(spark), F.col("at")).groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first_at"))
 
 
-@query(r"SELECT doc_id, coalesce(regexp_matches(text, '(?i)(\p{Nd}{6}|eventid)'), false) AS tagged FROM documents")
+@query(r"""
+SELECT doc_id, coalesce(regexp_matches(text, '(?i)(\p{Nd}{6}|event[iİı]d)'), false) AS tagged, coalesce(regexp_matches(CASE doc_id % 5 WHEN 0 THEN 'EVENTİD' WHEN 1 THEN 'eventıd' WHEN 2 THEN '１２３４５６' WHEN 3 THEN '１２３４５' END, '(?i)(\p{Nd}{6}|event[iİı]d)'), false) AS other FROM documents""")
 def event_id_classify(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", fn.has_event_id(F.col("text")).alias("tagged"))
+    other = F.get(F.array(*map(F.lit, ("EVENTİD", "eventıd", "１２３４５６", "１２３４５"))), (F.col("doc_id") % 5).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", fn.has_event_id(F.col("text")).alias("tagged"), fn.has_event_id(other).alias("other"))
 
 
 @query(r"SELECT page_id, coalesce(regexp_matches(url, '(?i)(\p{Nd}{6}|eventid)'), false) OR coalesce(regexp_matches(html, '(?i)(\p{Nd}{6}|eventid)'), false) AS tagged FROM pages")
@@ -111,21 +114,26 @@ def facet_options(spark, sf_dir):
 @query("""
 SELECT l_suppkey, count(*) AS total, cast(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS missing,
 sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) * cast(100 AS DOUBLE) / count(*) AS share
-FROM lineitem GROUP BY 1 ORDER BY total DESC, l_suppkey LIMIT 12""")
+FROM lineitem GROUP BY 1 ORDER BY total DESC, min(l_orderkey * 10 + l_linenumber), l_suppkey LIMIT 12""")
 def leaderboard_top12(spark, sf_dir):
-    return facets.leaderboard(table(spark, sf_dir, "lineitem"), "l_suppkey", F.lit(1), F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
+    """Ties go to the supplier whose first line comes first."""
+    return facets.leaderboard(table(spark, sf_dir, "lineitem"), "l_suppkey", F.lit(1), F.when(F.col("l_returnflag") == "R", 1).otherwise(0), order=F.col("l_orderkey") * 10 + F.col("l_linenumber"))
 
 
-@query("SELECT cast(year(o_orderdate) AS INT) AS yr, count(*) AS total, string_agg(DISTINCT o_orderstatus, '/' ORDER BY o_orderstatus) AS o_orderstatus, string_agg(DISTINCT o_orderpriority, '/' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY 1")
+@query("SELECT cast(year(o_orderdate) AS INT) AS yr, count(*) AS total, string_agg(DISTINCT o_orderstatus, '/' ORDER BY o_orderstatus) AS o_orderstatus, string_agg(DISTINCT o_orderpriority, '/' ORDER BY o_orderpriority) AS o_orderpriority, min(o_orderkey) AS first_seen FROM orders GROUP BY 1")
 def by_period_distinct_list(spark, sf_dir):
-    return facets.by_group(table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate")), "yr", F.lit(1), ["o_orderstatus", "o_orderpriority"])
+    return facets.by_group(table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate")), "yr", F.lit(1), ["o_orderstatus", "o_orderpriority"], order=F.col("o_orderkey"))
 
 
 @query("""
-WITH g AS (SELECT o_orderstatus, count(*) AS top FROM orders GROUP BY 1), p AS (SELECT o_orderstatus, top, pow(cast(10 AS DOUBLE), floor(log10(greatest(top, 1) / cast(4 AS DOUBLE)))) AS pw FROM g)
-SELECT o_orderstatus, top, CASE WHEN pw * 4 >= top THEN pw WHEN pw * 8 >= top THEN pw * 2 WHEN pw * 20 >= top THEN pw * 5 ELSE pw * 10 END AS step FROM p""")
+WITH g AS (SELECT o_orderstatus, count(*) AS top FROM orders GROUP BY 1), p AS (SELECT o_orderstatus, top, pow(cast(10 AS DOUBLE), floor(log10(greatest(top, 1) / cast(4 AS DOUBLE)))) AS pw FROM g UNION ALL SELECT 'zero', 0, cast(0.1 AS DOUBLE)),
+s AS (SELECT o_orderstatus, top, CASE WHEN pw * 4 >= greatest(top, 1) THEN pw WHEN pw * 8 >= greatest(top, 1) THEN pw * 2 WHEN pw * 20 >= greatest(top, 1) THEN pw * 5 ELSE pw * 10 END AS step FROM p)
+SELECT o_orderstatus, top, step, cast(floor(greatest(top, 1) / step) AS BIGINT) + 1 AS marks, floor(greatest(top, 1) / step) * step AS last_mark FROM s""")
 def tick_step(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("top")).withColumn("step", fn.tick_step(F.col("top")))
+    rows = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("top"))
+    rows = rows.unionByName(spark.createDataFrame([("zero", 0)], "o_orderstatus string, top long"))
+    marks = fn.ticks(F.col("top"))
+    return rows.select("o_orderstatus", "top", fn.tick_step(F.col("top")).alias("step"), F.size(marks).cast("long").alias("marks"), F.element_at(marks, -1).alias("last_mark"))
 
 
 @query("""
@@ -147,11 +155,7 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where that is unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/ledgerlark-checkpoints")
-    return sc.getCheckpointDir()
+    return shared_folder(spark)
 
 
 _LEVELS = "SELECT year(o_orderdate) AS year, month(o_orderdate) AS m, cast(sum(cast(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS level FROM orders GROUP BY 1, 2"
@@ -224,7 +228,8 @@ CANONICAL = ["bls", "fred", "pricestats"]
 
 
 def _series(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    yoy = timeseries.year_over_year(_shipped(spark, sf_dir), "level", "v")
+    shared_folder(spark)
+    yoy = timeseries.year_over_year(_shipped(spark, sf_dir).checkpoint(), "level", "v")  # a row a month; the line items are read once
 
     def missing(_: SparkSession) -> DataFrame:
         raise sources.SourceUnavailable("no file")
@@ -332,10 +337,11 @@ def xml_normalise(spark, sf_dir):
     return rows.select("n_nationkey", F.array_join(F.transform(codes, lambda c: c["systemCode"]), ",").alias("codes"))
 
 
-@query("SELECT c_mktsegment, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1 HAVING count(*) > 0")
+@query("SELECT c_mktsegment, count(*) AS n, count(DISTINCT code) AS customers FROM (SELECT unnest([o_custkey, o_custkey % 100 + 1]) AS code FROM orders) JOIN customer ON code = c_custkey GROUP BY 1 HAVING count(*) > 0")
 def explode_join_group(spark, sf_dir):
-    lists = table(spark, sf_dir, "orders").groupBy("o_orderdate").agg(F.collect_list("o_custkey").alias("codes"))
-    rows = lists.select(F.explode("codes").alias("code")).join(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), F.col("code") == F.col("c_custkey"))
+    """Lists of codes met with their customers; a code without one would raise."""
+    rows = table(spark, sf_dir, "orders").select(F.explode(F.array(F.col("o_custkey"), F.col("o_custkey") % 100 + 1)).alias("code"))
+    rows = ingest.looked_up(rows, "code", table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
     return rows.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("code").alias("customers")).filter("n > 0")
 
 
@@ -344,9 +350,9 @@ def own_or_parent_lookup(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     codes = table(spark, sf_dir, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("code"), F.col("r_name").alias("found")).unionByName(nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("found")))
     parent = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("r"), F.col("n_regionkey").cast("string")))
-    nation = nation.withColumn("look", F.coalesce(parent, F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))))
-    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(codes, F.col("look") == F.col("code"), "left")
-    return rows.select("c_custkey", F.col("n_name").alias("own"), "found")
+    own = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return hierarchy.own_or_parent(rows, own, parent, codes, "code").select("c_custkey", F.col("n_name").alias("own"), "found")
 
 
 _EDGES = "e AS (SELECT 'c' || c_custkey AS node, 'n' || c_nationkey AS parent FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'r' || r_regionkey, 'world' FROM region)"
@@ -403,7 +409,7 @@ def ordinal_ids(spark, sf_dir):
     return catalog.numbered(table(spark, sf_dir, "nation"), "n_regionkey", ["n_nationkey"]).select("n_name", "id")
 
 
-@query("SELECT n_name, CASE WHEN n_nationkey < 4 THEN 'I' WHEN n_nationkey < 9 THEN 'II' WHEN n_nationkey < 14 THEN 'III' ELSE 'IV' END AS theme FROM nation")
+@query("SELECT n_name, CASE WHEN n_nationkey < 3 THEN 'I' WHEN n_nationkey < 11 THEN 'II' WHEN n_nationkey < 13 THEN 'III' ELSE 'IV' END AS theme FROM nation")
 def positional_groups(spark, sf_dir):
     groups = spark.createDataFrame([(i, t, n) for i, (t, n) in enumerate(THEMES)], "place int, theme string, size int")
     return catalog.by_position(table(spark, sf_dir, "nation"), "n_nationkey", groups, "theme", "size", "place").select("n_name", "theme")
@@ -418,7 +424,12 @@ def natural_sort_key(spark, sf_dir):
     return brands.withColumn("place", F.row_number().over(Window.orderBy(*fn.natural_key(F.col("brand"), "#"))))
 
 
-@query(r"""SELECT page_id, split_part(trim(html, ' ' || chr(10) || chr(13) || chr(9)), chr(10), 1) AS summary, nullif(split_part(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1), '/', 2), '') AS owner,
+#: The characters that functions.BLANK trims, as SQL.
+_BLANK = "'" + fn.BLANK + "'"
+_WS = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in fn.BLANK) + "]"
+
+
+@query(rf"""SELECT page_id, split_part(trim(html, {_BLANK}), chr(10), 1) AS summary, nullif(split_part(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)', 1), '/', 2), '') AS owner,
 regexp_replace(replace(url, 'http://', 'https://'), '/+$', '') AS secure FROM pages""")
 def text_summary(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", fn.first_line(F.col("html")).alias("summary"), fn.owner_of(F.col("url")).alias("owner"), F.regexp_replace(F.replace("url", F.lit("http://"), F.lit("https://")), "/+$", "").alias("secure"))
@@ -430,12 +441,21 @@ def bold_labels(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.length("n_name") <= 8, fn.label_prefix(text)).otherwise(text).alias("text"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, i, regexp_replace(x, '[ \n\r\t]+$', '') AS x FROM (SELECT doc_id, unnest(str_split(text, chr(10))) AS x, generate_subscripts(str_split(text, chr(10)), 1) AS i FROM documents)),
-b AS (SELECT doc_id, i, length(x) - length(ltrim(x, chr(9))) AS depth, x FROM l WHERE trim(x, ' ' || chr(10) || chr(13) || chr(9)) <> ''),
-j AS (SELECT doc_id, string_agg(CASE WHEN depth = 0 AND x LIKE '%:' THEN x ELSE repeat('  ', depth) || '- ' || trim(x, ' ' || chr(10) || chr(13) || chr(9)) END, chr(10) ORDER BY i) AS bullets FROM b GROUP BY 1)
-SELECT d.doc_id, coalesce(j.bullets, '') AS bullets FROM documents d LEFT JOIN j USING (doc_id)""")
+#: Lines with an introduction, labels, tabs and blanks, which the documents do not have all.
+_NOTES = ["one line \u00a0", "Intro:\n\tdeep: and more\n\nMore:\nlast one\r\n", "\tIntro:\nCost: a.b: c", " \n\t", "first\n\t\ttwo deep\nLong label here: text: again", ""]
+
+
+@query(rf"""WITH d AS (SELECT doc_id, 0 AS note, coalesce(text, '') AS text FROM documents UNION ALL SELECT r_regionkey, i, t FROM region, (SELECT unnest([{", ".join(chr(39) + n + chr(39) for n in _NOTES)}]) AS t, unnest(range(1, {len(_NOTES) + 1})) AS i)),
+l AS (SELECT doc_id, note, rtrim(x, {_BLANK}) AS x, i FROM (SELECT doc_id, note, unnest(str_split(text, chr(10))) AS x, generate_subscripts(str_split(text, chr(10)), 1) AS i FROM d)),
+b AS (SELECT doc_id, note, x, trim(x, {_BLANK}) AS t, row_number() OVER (PARTITION BY doc_id, note ORDER BY i) AS i, count(*) OVER (PARTITION BY doc_id, note) AS n FROM l WHERE trim(x, {_BLANK}) <> ''),
+o AS (SELECT doc_id, note, i, CASE WHEN n = 1 THEN t WHEN i = 1 AND x NOT LIKE chr(9) || '%' AND t LIKE '%:' THEN t || chr(10)
+ELSE repeat('  ', length(x) - length(ltrim(x, chr(9)))) || '- ' || regexp_replace(t, '^([^:.]{{3,60}}):{_WS}+(.+)$', '**\1:** \2', 's') END AS y FROM b),
+j AS (SELECT doc_id, note, string_agg(y, chr(10) ORDER BY i) AS bullets FROM o GROUP BY 1, 2)
+SELECT d.doc_id, cast(d.note AS INT) AS note, coalesce(j.bullets, '') AS bullets FROM d LEFT JOIN j USING (doc_id, note)""")
 def markdown_bullets(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", fn.bullets(F.coalesce("text", F.lit(""))).alias("bullets"))
+    notes = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("doc_id"), F.posexplode(F.array(*map(F.lit, _NOTES))).alias("note", "text")).withColumn("note", F.col("note") + 1)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("note"), "text").unionByName(notes)
+    return rows.select("doc_id", "note", fn.bullets(F.coalesce("text", F.lit(""))).alias("bullets"))
 
 
 @query("""SELECT r_regionkey, '---' || chr(10) || 'title: "' || r_name || '"' || chr(10) || CASE WHEN r_regionkey % 2 = 0 THEN 'order: ' || r_regionkey || chr(10) ELSE '' END || '---' AS head FROM region""")
@@ -474,8 +494,11 @@ def ingest_stream(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from ledgerlark.plans import domain  # noqa: F401  its queries add themselves
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_sql)

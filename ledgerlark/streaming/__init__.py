@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.operators.ingest import absent
+from ledgerlark.sources import stored
 
 
 def ingest(spark: SparkSession, source: str, schema: str, key: str, store: str, checkpoint: str) -> None:
@@ -15,8 +16,7 @@ def ingest(spark: SparkSession, source: str, schema: str, key: str, store: str,
     """
 
     def put(batch: DataFrame, _: int) -> None:
-        have = spark.read.schema(schema).parquet(store) if spark._jvm.org.apache.hadoop.fs.Path(store).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(store)) else batch.limit(0)
-        absent(batch, have, [key]).write.mode("append").parquet(store)
+        absent(batch, stored(spark, schema, store), [key]).write.mode("append").parquet(store)
 
     stream = spark.readStream.schema(schema).parquet(source)
     stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
