@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from ledgerlark import __main__ as jobs
 from ledgerlark import functions as fn
 from ledgerlark import sources
-from ledgerlark.operators import catalog, facets, hierarchy, ingest, periods, timeseries
+from ledgerlark.operators import catalog, documents, facets, hierarchy, ingest, periods, timeseries
 
 
 def one(spark, column):
@@ -77,15 +79,23 @@ def test_float_year_date(spark, y, want):
 
 @pytest.mark.parametrize(("top", "want"), [(0, 0.5), (1, 0.5), (4, 1.0), (5, 2.0), (5602, 2000.0), (4000, 1000.0)])
 def test_tick_step(spark, top, want):
-    got = one(spark, fn.tick_step(F.lit(top)))
-    assert got * 4 >= top and got in (want, 0.1, 0.2, 0.5)
+    assert one(spark, fn.tick_step(F.lit(top))) == want
+    assert one(spark, fn.ticks(F.lit(top))) == pytest.approx([i * want for i in range(int(max(top, 1) // want) + 1)])
 
 
 def test_text(spark):
     assert one(spark, fn.label_prefix(F.lit("Cost: a\nb"))) == "**Cost:** a\nb"
     assert one(spark, fn.label_prefix(F.lit("a.b: c"))) == "a.b: c"
-    assert one(spark, fn.bullets(F.lit("Intro:\n\tdeep \n\nlast\r\n"))) == "Intro:\n  - deep\n- last"
-    assert one(spark, fn.first_line(F.lit("\n first \nsecond"))) == "first " or one(spark, fn.first_line(F.lit("\n first \nsecond"))) == "first"
+    assert one(spark, fn.bullets(F.lit("Intro:\n\tdeep \n\nlast\r\n"))) == "Intro:\n\n  - deep\n- last"
+    assert one(spark, fn.bullets(F.lit(" \u00a0one line: x \n\n"))) == "one line: x"
+    assert one(spark, fn.bullets(F.lit("a\nMore:\n\t\tCost: b"))) == "- a\n- More:\n    - **Cost:** b"
+    assert one(spark, fn.bullets(F.lit("\tIntro:\nb"))) == "  - Intro:\n- b"
+    assert one(spark, fn.bullets(F.lit("Intro:\n"))) == "Intro:" and one(spark, fn.bullets(F.lit("\n \t"))) == ""
+    assert one(spark, fn.first_line(F.lit("\n first \nsecond"))) == "first "
+    assert [one(spark, fn.has_event_id(F.lit(x))) for x in ("EVENTİD", "eventıd", "EventId", "１２３４５６", "12345", "event id")] == [True, True, True, True, False, False]
+    assert one(spark, fn.number_or_zero(F.lit(" "))) == 0.0 and one(spark, fn.number_or_zero(F.lit("x"))) is None
+    assert one(spark, fn.rounded_up(F.lit(2.5))) == 3 and one(spark, fn.rounded_up(F.lit(-2.5))) == -2
+    assert one(spark, fn.parties(F.array(F.lit("Democratic"), F.lit("Republican / Democratic")))) == "D/R"
     assert one(spark, fn.title_case(F.lit("hOUSE"))) == "HOUSE"
     assert one(spark, fn.percent(F.lit(1), F.lit(0))) == 0.0
     ids = spark.createDataFrame([("IV.10",), ("IV.9",), ("I.2",)], "id string").orderBy(*fn.natural_key(F.col("id"), "."))
@@ -121,6 +131,15 @@ def test_keep_last_replaces_whole_rows(spark):
     old = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], "k int, a double, b double")
     new = spark.createDataFrame([(1, 9.0, None)], "k int, a double, b double")
     assert sorted(map(tuple, timeseries.keep_last([old, new], ["k"]).collect())) == [(1, 9.0, None), (2, 3.0, 4.0)]
+    twice = new.unionAll(spark.createDataFrame([(1, 5.0, 1.0)], "k int, a double, b double")).withColumn("line", F.when(F.col("a") == 5, 2).otherwise(1))
+    assert timeseries.keep_last([old.withColumn("line", F.lit(9)), twice], ["k"], "line").filter("k = 1").first()[:3] == (1, 5.0, 1.0)
+
+
+def test_grid_may_have_to_be_complete(spark):
+    rows = spark.createDataFrame([(2024, m, 1.0) for m in fn.MONTHS[:11]], "y int, m string, v double")
+    assert timeseries.pivot_grid(rows, "y", "m", "v").first()["December"] is None
+    with pytest.raises(KeyError, match="December"):
+        timeseries.pivot_grid(rows, "y", "m", "v", complete=True)
 
 
 def test_resample_takes_last_line_of_ties(spark):
@@ -149,7 +168,62 @@ def test_ingest(spark):
     store = spark.createDataFrame([("v1", "old")], "id string, v string")
     new = spark.createDataFrame([("v1", "new"), ("v2", "a"), ("v2", "b")], "id string, v string")
     assert sorted(map(tuple, ingest.insert_if_absent(new, store, ["id"]).collect())) == [("v1", "old"), ("v2", "a")]
-    assert ("v1", "new") in list(map(tuple, ingest.upsert(new, store, ["id"], True).collect()))
+    assert sorted(map(tuple, ingest.upsert(new, store, ["id"], True).collect())) == [("v1", "new"), ("v2", "a")]
+
+
+def test_lookups(spark):
+    cache = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
+    asked = []
+
+    def fetch(missing):
+        asked.append(sorted(r.k for r in missing.collect()))
+        return missing.withColumn("v", F.lit(9))
+
+    want = spark.createDataFrame([("a",), ("c",)], "k string")
+    assert sorted(map(tuple, ingest.read_through(want, cache, "k", fetch).collect())) == [("a", 1), ("b", 2), ("b", 3), ("c", 9)]
+    with pytest.raises(ValueError):
+        ingest.read_through(want.unionAll(spark.createDataFrame([("b",)], "k string")), cache, "k", fetch)
+    ingest.read_through(spark.createDataFrame([("b",), ("a",)], "k string"), cache, "k", fetch, force=True)
+    assert asked == [["c"], ["a", "b"]]
+    with pytest.raises(Exception, match="no entry for z"):
+        ingest.looked_up(spark.createDataFrame([("z",)], "x string"), "x", cache, "k").collect()
+    answers = "id int, at int, attempt int, status int, body string"
+    rows = spark.createDataFrame([(1, 1, 1, 200, "a"), (2, 2, 1, 500, "x"), (2, 2, 2, 200, "b"), (3, 3, 1, 429, None), (4, 4, 1, 200, "c")], answers)
+    assert dict(map(tuple, ingest.answered(rows, "id", "at").collect())) == {1: "a", 2: "b"}
+    for bad in ([(1, 1, 1, 404, "x")], [(1, 1, 1, 500, "x"), (1, 1, 2, 500, "x")]):
+        with pytest.raises(Exception, match="lookup failed"):
+            ingest.answered(spark.createDataFrame(bad, answers), "id", "at").collect()
+
+
+def test_documents(spark):
+    rows = spark.createDataFrame([(1, "II", "https://a.b/c", 2.0, "x", None), (2, "VI", "nope", 2.5, None, "y"), (3, None, None, 1.0, "x", None)], "id int, theme string, repo string, n double, title string, focus string")
+    rules = {"theme": documents.one_of("I", "II"), "repo": documents.optional(documents.is_url), "n": documents.is_int, "title": documents.given}
+    assert sorted(map(tuple, documents.violations(rows, "id", rules).collect())) == [(2, "n"), (2, "repo"), (2, "theme"), (2, "title"), (3, "theme")]
+    assert documents.require(rows.filter("id = 1"), "id", rules).count() == 1
+    with pytest.raises(Exception, match="bad row: [23]"):
+        documents.require(rows, "id", rules).collect()
+    names = spark.createDataFrame([("a", 0), ("b", 1)], "name string, position int")
+    assert documents.selected(names, name="b").first().position == 1 and documents.selected(names).count() == 2
+    for wrong, kind in (({"name": "z"}, IndexError), ({"index": 2}, ValueError), ({"index": -1}, ValueError), ({"name": "a", "index": 0}, ValueError)):
+        with pytest.raises(kind):
+            documents.selected(names, **wrong)
+    with pytest.raises(TypeError, match="colour"):
+        documents.from_service(spark.createDataFrame([("a", "b")], "systemCode string, colour string"))
+    with pytest.raises(Exception, match="committeeMeeting"):
+        one(spark, documents.meeting(F.lit('{"x":1}'), "a:string"))
+
+
+def test_registry(spark):
+    ddl = "code string, at int, name string, chamber string, parent struct<code:string,name:string>"
+    rows = spark.createDataFrame([("c", 1, "child", "house", ("p", "stub")), ("p", 2, None, None, None), ("c", 3, None, "senate", None), ("d", 4, "dee", "house", ("p", "Parent"))], ddl)
+    got = {r.code: (r.name, r.chamber, r.parent) for r in hierarchy.registry(rows, "code", "at", ["name", "chamber"], "parent", ["chamber"]).collect()}
+    assert got == {"c": ("child", "senate", None), "p": ("Parent", "house", None), "d": ("dee", "house", "p")}
+    with pytest.raises(Exception, match="own parent"):
+        hierarchy.registry(spark.createDataFrame([("a", 1, "n", "h", ("a", "n"))], ddl), "code", "at", ["name"], "parent").collect()
+    nodes = hierarchy.registry(rows, "code", "at", ["name", "chamber"], "parent")
+    with pytest.raises(KeyError):
+        hierarchy.linked(nodes, spark.createDataFrame([("zz", "p")], "code string, parent string"), "code")
+    assert sorted(r.code for r in hierarchy.roots(nodes).collect()) == ["c", "p"]
 
 
 def test_hierarchy(spark):
@@ -193,7 +267,70 @@ def test_sources(spark, tmp_path):
     (tmp_path / "IV.1.md").write_text('---\ntitle: "A: b"\norder: 2\n---\nBody\n')
     row = sources.read_markdown(spark, str(tmp_path / "*.md")).first()
     assert (row.id, row.fields, row.body) == ("IV.1", {"title": "A: b", "order": "2"}, "Body\n")
+    for wrong in (("lords",), ("house", 120), ("house", 99)):
+        with pytest.raises(ValueError):
+            sources.check_chamber(*wrong)
+    sources.check_chamber("senate", 119)
+    (tmp_path / "p.json").write_text('{"events":[{"id":1},{"id":2}],"bills":[{"id":3}],"pagination":{"next":null},"request":{}}')
+    assert sorted(map(tuple, sources.read_pages(spark, str(tmp_path / "p.json"), "id:int").collect())) == [("bills", 3), ("events", 1), ("events", 2)]
+    (tmp_path / "q.json").write_text('{"events":{"id":1},"pagination":{}}')
+    with pytest.raises(Exception, match="no list: events"):
+        sources.read_pages(spark, str(tmp_path / "q.json"), "id:int").collect()
+    with pytest.raises(Exception, match="api-root"):
+        one(spark, sources.api_document(F.lit("<html></html>"), "a string"))
+    with pytest.raises(ValueError):
+        sources.read_store(spark, str(tmp_path), 7, "videos", "id:string", assert_exists=True)
+    assert sources.report_state(spark, str(tmp_path / "nothing.csv")) == ("error", None)
+    out = tmp_path / "md"
+    sources.write_markdown(spark.createDataFrame([("IV.2", "body\n\n \t"), ("V.1", "x")], "id string, body string"), str(out))
+    assert {f.name: f.read_text() for f in out.iterdir()} == {"IV.2.md": "body\n", "V.1.md": "x\n"}
     with pytest.raises(ValueError):
-        sources.check_chamber("lords")
-    (tmp_path / "p.json").write_text('{"events":[{"id":1},{"id":2}],"pagination":{"next":null}}')
-    assert sources.read_pages(spark, str(tmp_path / "p.json"), "id:int", "events").count() == 2
+        sources.credential(None, "NO_SUCH_KEY_HERE", ".no-such-file-here")
+
+
+def test_a_fault_of_spark_is_no_fault_of_a_source(spark):
+    def lost(s):
+        raise PySparkException("executor lost")
+
+    with pytest.raises(PySparkException):
+        sources.gather(spark, [sources.Source("lost", ("x",), lost)])
+
+
+def test_accounts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('committee,systemCode,handle,secondary\nAgriculture,hsag00,@AgRepublicans,@HouseAgDems\n"Science,Space",hssy00,@housescience,\nDup,hsag00,@Dup,\n')
+    got = sorted(map(tuple, sources.read_accounts(spark, str(tmp_path / "a.csv")).collect()))
+    assert got == [("hsag00", 0, "Dup", ["@Dup", ""]), ("hssy00", 1, "Science,Space", ["@housescience", ""])]
+    assert sorted(r.handle for r in sources.handles_of(sources.read_accounts(spark, str(tmp_path / "a.csv"))).collect()) == ["@Dup", "@housescience"]
+
+
+def test_jobs(spark, tmp_path):
+    """The command lines from files to files."""
+    (tmp_path / "a.csv").write_text("committee,systemCode,handle,secondary\nAgriculture,hsag00,@a,@b\nScience,hssy00,@c,\n")
+    (tmp_path / "p.json").write_text('{"118":{"start":"2023-01-03","end":"2025-01-03","house":"Red","senate":"Blue"}}')
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "1.json").write_text('{"snippet":{"title":"t","description":"EventID 1","publishedAt":"2024-01-01T00:00:00Z","resourceId":{"videoId":"v1"}}}\n')
+    store, out = str(tmp_path / "store"), tmp_path / "out"
+    for _ in range(2):
+        jobs.main(["fetch", "--landed", str(landed), "--store", store], spark)
+    assert spark.read.parquet(store).count() == 1
+    jobs.main(["fetch", "--landed", str(landed), "--store", store, "--force"], spark)
+    spark.read.parquet(store).withColumn("handle", F.lit("@b")).write.parquet(str(tmp_path / "videos"))
+    jobs.main(["coverage", "--accounts", str(tmp_path / "a.csv"), "--periods", str(tmp_path / "p.json"), "--videos", str(tmp_path / "videos"), "--as-of", "2025-06-30", "--output", str(out), "-n", "Agriculture", "--strict"], spark)
+    assert [tuple(r) for r in spark.read.csv(str(out), header=True).collect()] == [("Agriculture", "@b", "118", "1", "0", "Red", "house")]
+    (tmp_path / "e.json").write_text('{"7":{"api-root":{"committeeMeeting":{"committees":{"item":[{"systemCode":"hsag00"}]}}}},"8":{"committeeMeeting":{"committees":[{"systemCode":"hsag00"},{"systemCode":"hssy00"}]}}}')
+    jobs.main(["events", "--events", str(tmp_path / "e.json"), "--accounts", str(tmp_path / "a.csv"), "--output", str(out)], spark)
+    assert [tuple(r) for r in spark.read.csv(str(out), header=True).collect()] == [("hsag00", "Agriculture", "2"), ("hssy00", "Science", "1")]
+    (tmp_path / "s.csv").write_text("date,yoy\n2024-01-31,1\n2024-02-28,3\n")
+    (tmp_path / "r.csv").write_text("date,yoy\n2024-02-28,1\n")
+    jobs.main(["inflation", "--series", f"a={tmp_path}/s.csv", f"b={tmp_path}/r.csv", "--weights", "a=3", "--output", str(out)], spark)
+    assert [tuple(r) for r in spark.read.csv(str(out), header=True).collect()] == [("2024-01-01", "1.0", None, "1.0"), ("2024-02-01", "3.0", "1.0", "2.5")]
+    with pytest.raises(SystemExit):
+        jobs.main(["inflation", "--output", str(out)], spark)
+    grid = str(tmp_path / "grid")
+    names = ", ".join(f"{m} double" for m in fn.MONTHS)
+    sources.write_csv(spark.createDataFrame([(2022, *[1.0] * 12), (2023, *[2.0] * 12)], f"year int, {names}"), grid)
+    points = ",".join(f'{{"year":"2023","periodName":"{m}","value":"{5 + i}"}}' for i, m in enumerate(fn.MONTHS))
+    (tmp_path / "bls.json").write_text(f'{{"Results":{{"series":[{{"data":[{points},{{"year":"2023","periodName":"Annual","value":"-"}}]}}]}}}}')
+    jobs.main(["grid", "--grid", grid, "--landed", str(tmp_path / "bls.json")], spark)
+    assert [(r.year, r.January, r.December) for r in spark.read.csv(grid, header=True).orderBy("year").collect()] == [("2022", "1.0", "1.0"), ("2023", "5.0", "16.0")]
