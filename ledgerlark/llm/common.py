@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.session import shared_folder
+
 #: The bytes that separate words, 0x20 and 0x09 to 0x0D.
 SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,10 +24,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through spark.checkpoint.dir; a folder of our own only where it is unset."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/ledgerlark-checkpoints")
+    """Cut the lineage through the folder of spark.checkpoint.dir, which all executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -9,9 +9,11 @@ them together grow with the corpus and could not be broadcast. A shard gives a s
 its links; a distributed star contraction joins the shards' forests.
 
 The pipeline keeps one document of each group whose sets of five-word shingles have a Jaccard
-similarity of 0.8 or more. No number of differing bits bounds that, so its candidates come from a
-prefix filter, which misses none: sets that similar share one of their first size // 5 + 1 shingles
-in any common order. Candidates count after their exact similarity only.
+similarity of 0.8 or more. No number of SimHash bits bounds that, so that stage's trees hold odd
+sketches, the parities of a set's shingles in SKETCH cells: two sketches never differ in more bits
+than their sets in shingles, so the radius |A ^ B| <= (|A| + |B|) / 9 misses no pair. Shards come
+from a prefix filter, which misses none either: sets that similar share one of their first
+size // 5 + 1 shingles in any common order. What the trees find counts after its exact similarity.
 """
 
 from __future__ import annotations
@@ -22,18 +24,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import flat, release, shared_checkpoint, word_bounds
 
-BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
+SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Words of a shingle in the pipeline's stage; its similarity is 4 / 5, in whole numbers where it is used.
 WORDS = 5
 #: Shingles that come last in the order of prefixes: those in COMMON sampled texts or more, the MOST_COMMON first.
 COMMON, MOST_COMMON = 4, 1 << 17
+#: 64-bit words of the trees' odd sketches. Those by which pairs are compared have 2 to 4 bits a shingle.
+SKETCH = 8
+#: Rows of one shingle's run that a task holds; longer runs are split in cells and their cells compared in turn.
+RUN = 200_000
+#: Rows of a small side that are broadcast, after they are counted; more are shuffled.
+SMALL = 1 << 19
 #: Fingerprints that a shard should have, about.
 SHARD = 64
+#: Parts in which a component's prints meet its least id.
+PARTS = 16
 CHUNK = 1 << 21
 PAIRS = 1 << 20
 
@@ -94,11 +104,12 @@ def chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 class Forest:
-    """BK-trees, one per group, over distinct numbers; items of a group hang below its first item."""
+    """BK-trees, one per group, over rows of 64-bit words; items of a group hang below its first item."""
 
     def __init__(self, values: np.ndarray, group: np.ndarray) -> None:
         n = len(values)
-        self.values, self.parent, self.edge = values, np.full(n, -1, np.int64), np.zeros(n, np.int64)
+        self.values, self.parent, self.edge = values.reshape(n, -1), np.full(n, -1, np.int64), np.zeros(n, np.int64)
+        self.edges = 64 * self.values.shape[1] + 1  # distances that an edge can have
         _, root = np.unique(group, return_index=True)
         rank = np.empty(int(group.max()) + 1, np.int64)
         rank[group[root]] = root
@@ -106,8 +117,8 @@ class Forest:
         left = np.flatnonzero(self.root != np.arange(n))
         at = self.root[left]
         while len(left):
-            d = np.bitwise_count(values[left] ^ values[at]).astype(np.int64)
-            key = at * (BITS + 1) + d
+            d = self.distance(left, at)
+            key = at * self.edges + d
             _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
             child = left[first]
             self.parent[child], self.edge[child] = at[first], d[first]
@@ -115,25 +126,30 @@ class Forest:
             rest[first] = False
             left, at = left[rest], child[inverse][rest]
         inner = np.flatnonzero(self.parent >= 0)
-        key = self.parent[inner] * (BITS + 1) + self.edge[inner]
+        key = self.parent[inner] * self.edges + self.edge[inner]
         order = np.argsort(key)
         self.keys, self.children = key[order], inner[order]
 
-    def near(self, query: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (query item, found item) within the radius, found in the query's own tree."""
+    def distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.values[a] ^ self.values[b]).sum(axis=1, dtype=np.int64)
+
+    def near(self, query: np.ndarray, radius: int | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query item, found item) within the radius, one or one an item, found in the query's own tree."""
+        radius = np.broadcast_to(np.asarray(radius, np.int64), len(self.values))
+        most = PAIRS // self.values.shape[1]
         stack = [(query, self.root[query])]
         while stack:
             q, node = stack.pop()
-            if len(q) > PAIRS:
-                stack += [(q[a : a + PAIRS], node[a : a + PAIRS]) for a in range(0, len(q), PAIRS)]
+            if len(q) > most:
+                stack += [(q[a : a + most], node[a : a + most]) for a in range(0, len(q), most)]
                 continue
-            d = np.bitwise_count(self.values[q] ^ self.values[node]).astype(np.int64)
-            hit = d <= radius
+            d = self.distance(q, node)
+            hit = d <= radius[q]
             if hit.any():
                 yield q[hit], node[hit]
-            base = node * (BITS + 1)
-            lo = np.searchsorted(self.keys, base + np.maximum(d - radius, 0))
-            hi = np.searchsorted(self.keys, base + np.minimum(d + radius, BITS), "right")
+            base = node * self.edges
+            lo = np.searchsorted(self.keys, base + np.maximum(d - radius[q], 0))
+            hi = np.searchsorted(self.keys, base + np.minimum(d + radius[q], self.edges - 1), "right")
             many = hi - lo
             go = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
             if len(go):
@@ -162,13 +178,26 @@ def tables(n: int, radius: int = RADIUS) -> list[int]:
     """Masks of bits, such that numbers within the radius agree on one of them at least, and about SHARD of n share a value."""
     for extra in range(1, 5):
         groups = radius + extra
-        cuts = [round(BITS * i / groups) for i in range(groups + 1)]
+        cuts = [round(64 * i / groups) for i in range(groups + 1)]
         masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in itertools.pairwise(cuts)]
-        if n <= SHARD << (BITS * extra // groups):
+        if n <= SHARD << (64 * extra // groups):
             break
     return [sum(c) for c in itertools.combinations(masks, extra)]
 
 
+def in_cells(rows: DataFrame, split: DataFrame, key: str) -> DataFrame:
+    """Rows whose `cell` says where a large group is cut, in the cells in which each two of its cuts meet.
+
+    split has the large groups (_key of the key's name) and their number of cuts, `cells`. No task gets
+    more than two cuts of a group, and every two rows of a group are in one cell.
+    """
+    joined = rows.join(split, F.col(key) == F.col(f"_{key}"), "left")
+    own = F.pmod("cell", "cells")
+    other = F.explode(F.when(F.col("cells").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("cells") - 1)))
+    pair = F.least(own, "_other") * F.col("cells") + F.greatest(own, "_other")
+    return joined.withColumn("_other", other).withColumn("cell", F.when(F.col("cells").isNull(), F.lit(0)).otherwise(pair).cast("int")).select(*rows.columns)
+
+
 def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) of a spanning forest of each shard's links, from id, print with distinct prints."""
     masks = tables(n, radius)
@@ -177,8 +206,11 @@ def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         return x - (1 << 64) if x >> 63 else x
 
     keyed = prints.select("id", "print", F.explode(F.array(*[F.struct(F.lit(i).alias("table"), F.col("print").bitwiseAND(F.lit(signed(m)).cast("long")).alias("value")) for i, m in enumerate(masks)])).alias("shard"))
-    keyed = keyed.select("id", "print", F.xxhash64("shard.table", "shard.value").alias("shard"))
-    dealt = keyed.repartition(max(12, n * len(masks) // 500_000), "shard")
+    keyed = keyed.select("id", "print", F.xxhash64("shard.table", "shard.value").alias("shard"), F.lit(0).alias("cell"))
+    large = shared_checkpoint(keyed.groupBy("shard").count().filter(F.col("count") > RUN).select(F.col("shard").alias("_shard"), F.ceil(F.col("count") / RUN).cast("int").alias("cells")))
+    if (many := large.count()):
+        keyed = in_cells(keyed.withColumn("cell", F.xxhash64("id")), F.broadcast(large) if many <= SMALL else large, "shard")
+    dealt = keyed.repartition(max(12, n * len(masks) // 500_000), "shard", "cell")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
@@ -187,10 +219,11 @@ def links(prints: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         table = pa.Table.from_batches(parts)
         ids = np.asarray(table["id"].combine_chunks())
         values = np.asarray(table["print"].combine_chunks()).view(np.uint64)
-        shard = np.asarray(table["shard"].combine_chunks())
-        order = np.lexsort((ids, shard))
-        ids, values = ids[order], values[order]
-        _, group, size = np.unique(shard[order], return_inverse=True, return_counts=True)
+        shard, cell = (np.asarray(table[c].combine_chunks()) for c in ("shard", "cell"))
+        order = np.lexsort((ids, cell, shard))
+        ids, values, shard, cell = ids[order], values[order], shard[order], cell[order]
+        group = np.cumsum(np.concatenate([[True], (shard[1:] != shard[:-1]) | (cell[1:] != cell[:-1])])) - 1
+        size = np.bincount(group)
         alone = size[group] == 1
         ids, values, group = ids[~alone], values[~alone], group[~alone]
         if not len(ids):
@@ -254,9 +287,14 @@ def print_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     nodes = nodes.select("print", "least", F.col("print").alias("id"))
     n = nodes.count()
     joined = components(links(nodes.select("id", "print"), n, radius))
-    named = nodes.join(joined, "id", "left").select("print", "least", F.coalesce("component", "id").alias("component"))
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(lowest, "component").select(F.col("print").alias("_print"), "component_id")
+    # only prints with a link meet their component's least id, and a large component's do so in parts
+    linked = nodes.join(joined, "id", "left")
+    own_least = F.struct(F.col("least").isNull().alias("none"), "least")
+    lowest = linked.groupBy(F.coalesce("component", "id").alias("component")).agg(F.min(own_least).alias("row"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    lowest = lowest.select(F.col("component").alias("of"), F.col("row.least").alias("lowest"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("in_part"))
+    part = F.pmod(F.xxhash64("print"), F.lit(PARTS)).cast("int")
+    named = linked.join(lowest, (F.coalesce("component", "id") == F.col("of")) & (part == F.col("in_part")), "left")
+    named = named.select(F.col("print").alias("_print"), F.when(F.col("of").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("component_id"))
     return own.join(named, F.col("print") == F.col("_print")).select("doc_id", "print", "component_id")
 
 
@@ -275,8 +313,35 @@ def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(count)))]).astype(np.int64)
 
 
-def common_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles that many of the sampled texts have, the rarest first; at most MOST_COMMON reach the driver.
+def sketches(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Odd sketches of n rows: the parity of the number of shingles in each of 64 * SKETCH cells, as rows of words."""
+    bits = 64 * SKETCH
+    cell = ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(row * bits + cell, minlength=n * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, bits), axis=1, bitorder="little").view(np.uint64)
+
+
+def fine_sketch(hashes: np.ndarray) -> bytes:
+    """An odd sketch with a power of two of bits, twice the shingles or more; halving it folds it."""
+    bits = max(64, 1 << (2 * max(len(hashes), 1) - 1).bit_length())
+    odd = np.bincount(((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differ(one: bytes, two: bytes) -> int:
+    """Bits in which two fine sketches differ, at the size of the smaller one."""
+    a, b = int.from_bytes(one, "little"), int.from_bytes(two, "little")
+    m, n = len(one), len(two)
+    while m != n:
+        if m < n:
+            a, b, m, n = b, a, n, m
+        m //= 2
+        a = (a >> (8 * m)) ^ (a & ((1 << (8 * m)) - 1))
+    return (a ^ b).bit_count()
+
+
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many of the sampled texts have, the rarest first, and in about how many rows each is; at most MOST_COMMON reach the driver.
 
     Any order gives all pairs. With these last, prefixes hold rare shingles and few rows meet.
     """
@@ -290,15 +355,14 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
     some = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(every)) == 0).mapInArrow(run, "shingle long")
     rows = some.groupBy("shingle").count().filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).collect()
-    return np.array([r["shingle"] for r in rows[::-1]], np.int64).view(np.uint64)
+    return np.array([r["shingle"] for r in rows[::-1]], np.int64).view(np.uint64), np.array([r["count"] * every for r in rows[::-1]], np.int64)
 
 
-def nodes_of(docs: DataFrame) -> DataFrame:
-    """Per row doc_id, same (a hash of its text), node (a hash of its shingle set), size of the set, and the set's prefix.
+def nodes_of(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Per row doc_id, same (a hash of its text), node (a hash of its shingle set), size of the set, the set's prefix and sketch.
 
-    Only the first row of a node that a task meets has the prefix.
+    Only the first row of a node that a task meets has prefix and sketch.
     """
-    common = common_shingles(docs)
     rank = np.argsort(common)
     common = common[rank]
 
@@ -319,32 +383,42 @@ def nodes_of(docs: DataFrame) -> DataFrame:
                 for i, x in enumerate(node.tolist()):
                     first[i] = x not in seen
                     seen.add(x)
-                many = np.where(first & (size > 0), size // 5 + 1, 0)
+                first &= size > 0
+                many = np.where(first, size // 5 + 1, 0)
                 take = (np.arange(len(row)) - at[row]) < many[row]
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(hashes[order][take].view(np.int64)))
-                yield pa.record_batch([part["doc_id"], part["same"], pa.array(node), pa.array(size.astype(np.int32)), prefix], ["doc_id", "same", "node", "size", "prefix"])
+                sketch = sketches(hashes, row, len(size)).view(np.int64)
+                own = [pa.array(sketch[:, i], mask=~first) for i in range(SKETCH)]
+                fine = pa.array([fine_sketch(hashes[a:b]) if f else None for a, b, f in zip(at, at[1:], first, strict=False)], pa.binary())
+                yield pa.record_batch([part["doc_id"], part["same"], pa.array(node), pa.array(size.astype(np.int32)), prefix, fine, *own], ["doc_id", "same", "node", "size", "prefix", "fine", *SKETCHED])
         release()
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", F.xxhash64("text", F.lit(SEED)))
-    return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", same())
+    return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>, fine binary, " + ", ".join(f"{c} long" for c in SKETCHED)))
+
+
+SKETCHED = [f"s{i}" for i in range(SKETCH)]
 
 
-def _by_shingle(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The columns by shingle, size and node without repeated rows, each row's run of equal shingles, and the runs' lengths."""
+def same() -> Column:
+    """A hash of the row's text; with the id it finds the row again."""
+    return F.xxhash64(F.col("text").cast("string"), F.lit(SEED))
+
+
+def _by_run(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """The columns by cell, shingle and node without repeated rows, each row's run of equal cells and shingles, and the runs' lengths."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
-        return [np.zeros(0, np.int64) for _ in columns], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return {c: np.zeros(0, np.int64) for c in columns}, np.zeros(0, np.int64), np.zeros(0, np.int64)
     table = pa.Table.from_batches(parts)
     own = {c: np.asarray(table[c].combine_chunks()) for c in columns}
-    order = np.lexsort((own["node"], own["size"], own["shingle"]))
+    order = np.lexsort((own["node"], own["shingle"], own["cell"]))
     own = {c: x[order] for c, x in own.items()}
-    new = np.ones(len(order), bool)
-    new[1:] = (own["shingle"][1:] != own["shingle"][:-1]) | (own["node"][1:] != own["node"][:-1])
-    own = {c: x[new] for c, x in own.items()}
-    begin = np.ones(len(own["shingle"]), bool)
-    begin[1:] = own["shingle"][1:] != own["shingle"][:-1]
-    run = np.cumsum(begin) - 1
-    return list(own.values()), run, np.bincount(run)
+    begin, new = (np.ones(len(order), bool) for _ in range(2))
+    begin[1:] = (own["shingle"][1:] != own["shingle"][:-1]) | (own["cell"][1:] != own["cell"][:-1])
+    new[1:] = begin[1:] | (own["node"][1:] != own["node"][:-1])
+    own, run = {c: x[new] for c, x in own.items()}, (np.cumsum(begin) - 1)[new]
+    return own, run, np.bincount(run)
 
 
 def _may_be(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -354,34 +428,81 @@ def _may_be(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray) -> np.nd
     return 9 * most >= 4 * (n + m)
 
 
-def similar(own: DataFrame, docs: DataFrame) -> DataFrame:
+def first_rows(own: DataFrame) -> DataFrame:
+    """Per node its row (none, id, same) with the least id, null last, then the least hash of its text; copies are merged before they meet."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "same")
+    return shared_checkpoint(own.groupBy("node").agg(F.min(row).alias("row")))
+
+
+def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
     """Edges (a, b) that join the nodes as all pairs with Jaccard similarity >= 0.8 do.
 
-    First each row is compared with one row of each shingle of its prefix, so that a large group is
-    one component without all of its pairs; then all pairs of different components are.
+    First each row is compared with two rows of each shingle of its prefix, so that a large group
+    is one component without all of its pairs. Then the BK-trees of each shingle with rows of several
+    components are asked for what those outside its largest component are near to. `heavy` are
+    shingles with the number of cells, over one, into which their rows are dealt.
     """
-    columns = ["shingle", "node", "size", "at"]
+    session = own.sparkSession
     rows = own.select("node", "size", F.posexplode("prefix").alias("at", "shingle"))
     parts = max(12, (own.agg(F.sum(F.size("prefix"))).first()[0] or 0) // 500_000)
+    dealt = rows.withColumn("cell", F.lit(0))
+    split = session.createDataFrame(heavy, "_shingle long, cells int") if heavy else None
+    if split is not None:  # at most MOST_COMMON rows
+        dealt = rows.join(F.broadcast(split), F.col("shingle") == F.col("_shingle"), "left").withColumn("cell", F.coalesce(F.pmod(F.xxhash64("node"), F.col("cells")), F.lit(0)).cast("int")).drop("_shingle", "cells")
+    columns = ["cell", "shingle", "node", "size", "at"]
+    ddl = "cell int, shingle long, node long, size int, at int"
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (shingle, node, size, at), run, length = _by_shingle(batches, columns)
+        x, run, length = _by_run(batches, columns)
         if not len(run):
             return
-        by_node = np.lexsort((node, run))
-        _, begin = np.unique(run, return_index=True)
-        lead = by_node[begin][run]
-        ok = _may_be(size, at, size[lead], at[lead]) & (node != node[lead])
-        # a run of two that cannot be similar enough has no other pair
-        keep = (length[run] > 2) | (np.bincount(run, weights=ok) > 0)[run]
-        yield pa.record_batch([pa.array(x[keep]) for x in (shingle, node, size, at)] + [pa.array(node[lead][keep], mask=~ok[keep])], [*columns, "lead"])
+        stop = np.cumsum(length)
+        leads, met = [], np.zeros(len(run), bool)
+        for lead in ((stop - length)[run], (stop - 1)[run]):  # the second only where the first cannot be
+            ok = _may_be(x["size"], x["at"], x["size"][lead], x["at"][lead]) & (x["node"] != x["node"][lead]) & ~met
+            leads.append(pa.array(x["node"][lead], mask=~ok))
+            met |= ok
+        # a run of two has no pair but that of its leads
+        many = (length[run] > 2) | np.isin(x["shingle"], np.array([h for h, _ in heavy], np.int64))
+        out = pa.record_batch([*(pa.array(x[c]) for c in columns), *leads, pa.array(many)], [*columns, "lead", "other", "many"])
+        yield out.filter(pa.array(many | ~np.logical_and(*(lead.is_null().to_numpy(zero_copy_only=False) for lead in leads))))
         release()
 
-    runs = shared_checkpoint(rows.repartition(parts, "shingle").mapInArrow(shared, "shingle long, node long, size int, at int, lead long"))
-
-    # one row's text stands for its node
-    one = own.join(runs.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "same")).alias("row"))
-    one = one.select("node", F.col("row.doc_id").alias("_id"), F.col("row.same").alias("_same"))
+    runs = shared_checkpoint(dealt.repartition(parts, "cell", "shingle").mapInArrow(shared, f"{ddl}, lead long, other long, many boolean"))
+    pairs = runs.select("node", F.explode(F.array("lead", "other")).alias("lead")).filter("lead is not null")
+    if split is not None:  # all cells of a shingle also meet its two leads
+        ends = runs.join(F.broadcast(split), F.col("shingle") == F.col("_shingle")).groupBy("_shingle").agg(F.array(F.min("node"), F.max("node")).alias("ends"))
+        pairs = pairs.unionAll(runs.join(F.broadcast(ends), F.col("shingle") == F.col("_shingle")).select("node", F.explode("ends").alias("lead")).filter("node <> lead"))
+    prints = own.filter("s0 is not null")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sketches do not rule them out."""
+        fine = prints.select("node", F.col("size").alias("n"), "fine").dropDuplicates(["node"])
+        both = pairs.join(fine.withColumnsRenamed({"node": "a", "n": "n_a", "fine": "one"}), "a").join(fine.withColumnsRenamed({"node": "b", "n": "n_b", "fine": "two"}), "b")
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes = batch["n_a"].to_numpy().astype(np.int64) + batch["n_b"].to_numpy()
+                differ = np.fromiter((_differ(x, y) for x, y in zip(batch["one"].to_pylist(), batch["two"].to_pylist(), strict=True)), np.int64, batch.num_rows)
+                yield batch.select(["a", "b"]).filter(pa.array(9 * differ <= sizes))
+
+        return both.mapInArrow(near, "a long, b long")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough, by their sets."""
+        pairs = shared_checkpoint(close(pairs))
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        one = firsts.join(nodes, "node", "left_semi").select("node", F.when(~F.col("row.none"), F.col("row.id")).alias("_id"), F.col("row.same").alias("_same"))
+        one = shared_checkpoint(one)
+        if one.count() <= SMALL:
+            one = F.broadcast(one)
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", same())
+        texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same"))).select("node", "text")
+        # a repeated row gives its set, and so an edge, once more
+        sets = shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
+        left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("one")), sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
+        both = pairs.join(left, "a").join(right, "b")
+        return shared_checkpoint(both.filter(9 * F.size(F.array_intersect("one", "two")) >= 4 * (F.size("one") + F.size("two"))).select("a", "b"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,72 +511,80 @@ def similar(own: DataFrame, docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([part["node"], pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))], ["node", "items"])
         release()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", F.xxhash64("text", F.lit(SEED)))
-    texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same"))).select("node", "text")
-    # a repeated row gives its set, and so an edge, once more
-    sets = shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
+    edges = exact(pairs.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct())
 
-    def check(pairs: DataFrame) -> DataFrame:
-        left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("one")), sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
-        both = pairs.distinct().join(left, "a").join(right, "b")
-        return both.filter(9 * F.size(F.array_intersect("one", "two")) >= 4 * (F.size("one") + F.size("two"))).select("a", "b")
-
-    edges = shared_checkpoint(check(runs.filter("lead is not null").select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b"))))
-    joined = components(edges).withColumnRenamed("id", "node")
+    wide = [*columns, "component", *SKETCHED]
 
-    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (_, node, size, at, component), run, length = _by_shingle(batches, [*columns, "component"])
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, run, length = _by_run(batches, wide)
         if not len(run):
             return
+        # each run's largest component only answers
+        order = np.lexsort((x["component"], run))
+        new = np.ones(len(order), bool)
+        new[1:] = (run[order][1:] != run[order][:-1]) | (x["component"][order][1:] != x["component"][order][:-1])
+        part = np.empty(len(order), np.int64)
+        part[order] = np.cumsum(new) - 1
+        size = np.bincount(part)
+        of = run[order][new]
+        largest = np.lexsort((size, of))
+        largest = largest[np.append(of[largest][1:] != of[largest][:-1], True)]
+        ask = np.flatnonzero(part != largest[run])
         mixed = np.zeros(len(length), bool)
-        other = np.flatnonzero((run[1:] == run[:-1]) & (component[1:] != component[:-1]))
-        mixed[run[other]] = True
-        left, step = np.flatnonzero(mixed[run]), 1
-        while len(left):
-            left = left[left + step < len(run)]
-            # sizes grow within a run: where the next one is too large, all later ones are
-            left = left[(run[left + step] == run[left]) & (5 * size[left].astype(np.int64) >= 4 * size[left + step].astype(np.int64))]
-            x, y = left, left + step
-            ok = (component[x] != component[y]) & _may_be(size[x], at[x], size[y], at[y])
-            if ok.any():
-                a, b = node[x[ok]], node[y[ok]]
-                yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
-            step += 1
+        mixed[run[ask]] = True
+        if not len(ask):
+            return
+        left = np.flatnonzero(mixed[run])
+        place = np.cumsum(mixed[run]) - 1
+        forest = Forest(np.stack([x[c][left] for c in SKETCHED], axis=1).view(np.uint64), run[left])
+        n, at, component, node = (x[c][left].astype(np.int64) for c in ("size", "at", "component", "node"))
+        for a in range(0, len(ask), 1 << 12):
+            # the other set has at most 5 / 4 of the shingles
+            for q, found in forest.near(place[ask[a : a + (1 << 12)]], n // 4):
+                ok = (component[q] != component[found]) & (9 * forest.distance(q, found) <= n[q] + n[found]) & _may_be(n[q], at[q], n[found], at[found])
+                if ok.any():
+                    one, two = node[q[ok]], node[found[ok]]
+                    pair = np.unique(np.stack([np.maximum(one, two), np.minimum(one, two)], axis=1), axis=0)
+                    yield pa.record_batch([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["a", "b"])
         release()
 
-    named = runs.drop("lead").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return edges.unionAll(check(named.repartition(max(12, parts // 4), "shingle").mapInArrow(apart, "a long, b long")))
+    joined = components(edges).withColumnRenamed("id", "node")
+    many = runs.filter("many").select(*columns)
+    if split is not None:
+        many = in_cells(many, F.broadcast(split), "shingle")
+    many = many.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(prints.select("node", *SKETCHED).dropDuplicates(["node"]), "node").select(*wide)
+    pairs = many.repartition(max(12, parts // 4), "cell", "shingle").mapInArrow(trees, "a long, b long").distinct()
+    return edges.unionAll(exact(pairs))
 
 
 def similar_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, same, node of each row; and node, component. Rows without words have the empty set and are one node."""
-    own = nodes_of(docs)
-    joined = components(similar(own, docs)).withColumnRenamed("id", "node")
-    nodes = own.select("node").distinct().join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    return own.select("doc_id", "same", "node"), nodes
+    """node and its first row; and node, component of the nodes with an edge. Rows without words have the empty set and are one node."""
+    common, often = common_shingles(docs)
+    own = nodes_of(docs, common)
+    heavy = [(int(h), int(-(-n // RUN))) for h, n in zip(common.view(np.int64), often, strict=True) if n > RUN]
+    firsts = first_rows(own)
+    return firsts, components(similar(own, firsts, docs, heavy)).withColumnRenamed("id", "node")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id of every row: the least doc_id of the rows that chains of similar shingle sets reach, null where none has an id."""
-    own, nodes = similar_groups(docs)
-    named = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(nodes, "node")
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return own.join(named.join(lowest, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
+def keepers(docs: DataFrame) -> DataFrame:
+    """One row (_none, _id, _same) for each group of similar shingle sets: its row with the least id, null last, then the least hash of its text."""
+    firsts, nodes = similar_groups(docs)
+    lowest = firsts.join(nodes, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("row").alias("row"))
+    return lowest.select(F.col("row.none").alias("_none"), F.col("row.id").alias("_id"), F.col("row.same").alias("_same"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose group of similar shingle sets has a smaller doc_id.
+    """The rows of docs, in the columns of documents, that stand for their group of similar shingle sets.
 
-    Rows that repeat the kept id become one row, of the least text. Where no row of a group has an id
-    all of them stay: nothing tells them apart from rows of another table.
+    A group's row is the one with the smallest doc_id, null last; among rows that repeat that id, the
+    one whose text has the least hash. Each group keeps exactly one row, whatever its ids: rows that
+    repeat an id but are not similar all stay, each for its own group. Of equal rows one stays; where
+    rows agree on id and text, the least of the other columns counts. Texts without words (null, empty
+    or blank) are one group. Very long texts have as many shingles as words; their sets are whole.
     """
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    own, nodes = similar_groups(docs)
-    named = own.groupBy("node").agg(F.min("doc_id").alias("least")).join(nodes, "node")
-    least = named.groupBy("component").agg(F.min("least").alias("_id"))
-    # an equality keeps the join's and the aggregate's keys alike, so texts are shuffled once
-    with_id = docs.select(*columns).join(least.select(F.col("_id").alias("doc_id")).filter("doc_id is not null").distinct(), "doc_id")
-    with_id = with_id.groupBy("doc_id").agg(F.min(F.struct(*columns[1:])).alias("_row")).select("doc_id", "_row.*")
-    bare = own.filter("doc_id is null").join(named.join(least.filter("_id is null"), "component"), "node", "left_semi").select("same").distinct()
-    without = docs.select(*columns).filter("doc_id is null").join(bare, F.xxhash64(F.col("text").cast("string"), F.lit(SEED)) == F.col("same"), "left_semi")
-    return with_id.unionByName(without)
+    columns = ["text", "lang", "source", "n_chars"]
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
+    own = own.withColumns({"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0)), "_same": same()})
+    # equal rows are merged before the shuffle; the join's and the aggregate's keys are alike, so texts are shuffled once
+    rows = own.groupBy("_none", "_id", "_same").agg(F.min(F.struct("doc_id", *columns)).alias("_row"))
+    return rows.join(keepers(docs), ["_none", "_id", "_same"]).select("_row.*")
