@@ -1,4 +1,5 @@
-"""Suffix-array dedup: induced sorting of a shard's texts and permuted common prefixes.
+"""Suffix-array dedup: induced sorting of a shard's texts and permuted common prefixes, whose lengths
+tell which suffixes share a window.
 
 The sort classifies suffixes as S or L, sorts the leftmost-S (LMS) substrings by inducing from
 them, names them, sorts the reduced string recursively and induces the whole array from the sorted
@@ -172,21 +173,25 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     return _induce(s, is_s, order, k)
 
 
-def capped_plcp(text: np.ndarray, sa: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """Permuted common prefixes, capped: for each of `places`, in text order, whether `length` bytes
-    agree with the suffix before it in the array. Only those of `places` count as such suffixes."""
+def common_prefixes(text: np.ndarray, sa: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Permuted common prefixes: for each of `places`, in text order, how many bytes it has in common with
+    the suffix before it in the array, up to `length`. Only those of `places` count as such suffixes."""
     phi = np.full(len(text), -1, np.int32)
     ordered = sa[places[sa]]
     phi[ordered[1:]] = ordered[:-1]
     place = np.flatnonzero(phi >= 0).astype(np.int32)
     before = phi[place]
-    steps = sorted({*range(0, length - 7, 8), max(length - 8, 0)}) if length >= 8 else range(length)
-    words = np.ndarray((len(text) - 7,), np.uint64, text, strides=(1,)) if length >= 8 else text
-    for step in steps:
-        same = words[place + step] == words[before + step]
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(text) + 1,), np.uint64, padded, strides=(1,))  # the eight bytes from each place on, the first lowest
+    out = np.zeros(len(text), np.uint8 if length < 256 else np.int32)
+    for step in range(0, length, 8):
+        x = words[place + step] ^ words[before + step]
+        same = x == 0
+        other = np.flatnonzero(~same)
+        x = x[other]
+        out[place[other]] = np.minimum(step + (np.bitwise_count((x & -x) - np.uint64(1)) >> 3), length)
         place, before = place[same], before[same]
-    out = np.zeros(len(text), bool)
-    out[place] = True
+    out[place] = length
     return out
 
 
@@ -207,9 +212,9 @@ def least_ids(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> tupl
     owner = np.full(len(s), -1, np.int32)
     place = (np.repeat((begin - (np.cumsum(count) - count)).astype(np.int32), count) + np.arange(count.sum(), dtype=np.int32)).astype(np.int32)
     owner[place] = np.repeat(np.arange(len(texts), dtype=np.int32), count)
-    agree = capped_plcp(text, sa, owner >= 0, length)
+    prefix = common_prefixes(text, sa, owner >= 0, length)
     sa = sa[owner[sa] >= 0]
-    new = ~agree[sa]
+    new = prefix[sa] < length
     new[0] = True
     at = np.flatnonzero(new)
     best = np.minimum.reduceat(ids[owner[sa]], at)
@@ -239,9 +244,10 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: bytes, bytes that a `length`-byte string of a smaller doc_id covers, their runs, and what is left as a digest.
 
     A null text is empty; an empty or short text keeps all its bytes. A null doc_id counts as larger
-    than any other. Rows that repeat an id never remove from each other. Other columns are not read.
+    than any other. Rows that repeat an id never remove from each other. A very long text is in one
+    bucket, cut into pieces like any other; no window of it is left out. Other columns are not read.
     """
-    return covered(docs, byte_tokens, lambda texts, ids: least_ids(texts, ids, length), _digest, DIGEST, length, min(GRAM, length - 1))
+    return covered(docs, byte_tokens, lambda texts, ids: least_ids(texts, ids, length), len, _digest, DIGEST, length, min(GRAM, length - 1))
 
 
 def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -265,4 +271,4 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             "n_chars": pa.array([n if x is None else len(x) for n, x in zip(table["n_chars"].to_pylist(), texts, strict=True)], pa.int64()),
         })
 
-    return covered(docs, byte_tokens, lambda texts, ids: least_ids(texts, ids, length), cut, "doc_id long, text string, lang string, source string, n_chars long", length, min(GRAM, length - 1), columns)
+    return covered(docs, byte_tokens, lambda texts, ids: least_ids(texts, ids, length), len, cut, "doc_id long, text string, lang string, source string, n_chars long", length, min(GRAM, length - 1), columns)

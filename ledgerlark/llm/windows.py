@@ -9,8 +9,9 @@ bytes) and in the index that decides inside a shard; this module brings equal wi
 2. Each bucket sends its distinct labels, packed, to the labels' owners, which send back those that
    two documents have. A passage that a third of all documents share is one label per bucket.
 3. Pieces with such a label go, distinct per bucket and with the least id that has them, to the
-   label's shard. There the index (FM-index or suffix array) finds, for each window, the least
-   document id over all pieces that hold the same tokens.
+   label's shard, with three bytes of the label. A label of which a shard has one text only needs no
+   index: its windows occur in that text alone. For all others the index (FM-index or suffix array)
+   finds, for each window, the least document id over all pieces that hold the same tokens.
 4. A bucket gets an answer for a piece only where that id is less than its own least id.
 
 All tables are keyed by bucket, label range or shard, none of which is a document property, so no
@@ -180,11 +181,12 @@ def _chosen(t: Tokens, ids: np.ndarray, length: int, k: int, shared: np.ndarray)
     return row, start, count, label, which, list(seen), lowest
 
 
-def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length: int, k: int, carried: tuple[str, ...] = ()) -> DataFrame:
+def covered(docs: DataFrame, tokens, solve, count_tokens, digest, digest_schema: str, length: int, k: int, carried: tuple[str, ...] = ()) -> DataFrame:
     """digest(table, tokens, removed) for each bucket of docs; removed marks each token that a repeated window covers.
 
-    solve(texts, ids) gets a shard's distinct pieces and the least id of each, and returns for all
-    their windows, one piece after the other, the least id over the pieces that have that window.
+    solve(texts, ids) gets a shard's distinct pieces whose labels have several texts, and the least id
+    of each, and returns for all their windows, one piece after the other, the least id over the
+    pieces that have that window; count_tokens(text) is a piece's number of tokens.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     _, size = text_size(docs)
@@ -242,22 +244,35 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
         out = {c: [] for c, _ in piece_types}
         for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
             own = [texts[i] for i in part.tolist()]
-            for c, v in (("shard", shard[part[0]]), ("bucket", key[0].as_py()), ("number", _packed(part.astype(np.int32))), ("lowest", _packed(lowest[part])), ("size", _packed(np.fromiter(map(len, own), np.int32, len(own)))), ("texts", pa.compress(b"".join(own), "zstd", asbytes=True))):
+            for c, v in (("shard", shard[part[0]]), ("bucket", key[0].as_py()), ("number", _packed(part.astype(np.int32))), ("lowest", _packed(lowest[part])), ("size", _packed(np.fromiter(map(len, own), np.int32, len(own)))), ("mark", _packed(of[part].view(np.uint8).reshape(-1, 8)[:, 1:4])), ("texts", pa.compress(b"".join(own), "zstd", asbytes=True))):
                 out[c].append(v)
         return pa.table({c: pa.array(out[c], kind) for c, kind in piece_types})
 
-    piece_types = (("shard", pa.int64()), ("bucket", pa.int64()), ("number", pa.binary()), ("lowest", pa.binary()), ("size", pa.binary()), ("texts", pa.binary()))
+    piece_types = (("shard", pa.int64()), ("bucket", pa.int64()), ("number", pa.binary()), ("lowest", pa.binary()), ("size", pa.binary()), ("mark", pa.binary()), ("texts", pa.binary()))
 
     def solve_shard(key, table):
         seen: dict[bytes, int] = {}
         which, lowest = [], [np.frombuffer(x, np.int64) for x in table["lowest"].to_pylist()]
+        marks = np.frombuffer(b"".join(table["mark"].to_pylist()), np.uint8).reshape(-1, 3).astype(np.int64) @ np.array([1, 1 << 8, 1 << 16])
         for size, data in zip(table["size"].to_pylist(), table["texts"].to_pylist(), strict=True):
             end = np.cumsum(np.frombuffer(size, np.int32), dtype=np.int64)
             data = pa.decompress(data, int(end[-1]), "zstd", asbytes=True)
             which.append(np.fromiter((seen.setdefault(data[x:y], len(seen)) for x, y in zip([0, *end[:-1].tolist()], end.tolist(), strict=True)), np.int64, len(end)))
         best = np.full(len(seen), NO_ID, np.int64)
         np.minimum.at(best, np.concatenate(which), np.concatenate(lowest))
-        result, count = solve(list(seen), best)
+        texts = list(seen)
+        del seen
+        mark = np.empty(len(texts), np.int64)
+        mark[np.concatenate(which)] = marks
+        _, group, size = np.unique(mark, return_inverse=True, return_counts=True)
+        several = size[group] > 1
+        count = np.fromiter(map(count_tokens, texts), np.int64, len(texts)) - length + 1
+        result = np.repeat(best, count)
+        if several.any():
+            at = np.flatnonzero(several)
+            found, _ = solve([texts[i] for i in at.tolist()], best[at])
+            result[np.repeat(several, count)] = found
+        del texts
         release()
         # runs of equal ids within each piece
         stop = np.cumsum(count)
@@ -317,6 +332,6 @@ def covered(docs: DataFrame, tokens, solve, digest, digest_schema: str, length:
     by = dealt.groupBy("bucket")
     packed = by.applyInArrow(label_sets, "owner long, bucket long, packed binary")
     shared = packed.groupBy("owner").applyInArrow(shared_sets, "bucket long, shared binary, answer binary")
-    sent = by.cogroup(shared.groupBy("bucket")).applyInArrow(send_pieces, "shard long, bucket long, number binary, lowest binary, size binary, texts binary")
+    sent = by.cogroup(shared.groupBy("bucket")).applyInArrow(send_pieces, "shard long, bucket long, number binary, lowest binary, size binary, mark binary, texts binary")
     answers = sent.groupBy("shard").applyInArrow(solve_shard, "bucket long, shared binary, answer binary")
     return by.cogroup(shared.unionAll(answers).groupBy("bucket")).applyInArrow(apply_answers, digest_schema)
