@@ -1,16 +1,19 @@
 """License scans: a positional index of rare template words, in Spark's own functions.
 
-The templates below are indexed by their rarest words: postings (word -> template, place in it).
-Rarity is measured, each template word's document frequency is counted over all documents. In each
-text the postings of its indexed words are shifted by the word's place; shifts on which enough rare
-words agree are candidate places of a template. The key phrase's own rarest words are indexed too, so
-every place where it stands is a candidate, whatever the corpus's frequencies. A candidate stands only if the template's mandatory
-key phrase is there word for word. Its score is the part of the template's IDF weight found in place.
+The templates are public licence texts and the notices that refer to them. An index lists every
+template word's places (word -> template, place). Rarity is measured: each template word's document
+frequency is counted over all documents. In each text that has some key phrase's rarest word, its own
+RARE licence words of highest IDF are looked up, and the AGREE rarest words of every key phrase, so
+that each place where a key phrase stands is a candidate whatever the corpus's frequencies. Postings
+are shifted by the word's place in the text; shifts on which AGREE words meet are candidate places of
+a template. A candidate stands only if the template's mandatory key phrase is there word for word. Its
+score is the part of the template's IDF weight that is found in place.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 #: Words are runs of these characters, A-Z lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -25,112 +29,141 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 @dataclass(frozen=True)
 class Template:
     label: str
-    text: str
     key: str
+    text: str
+
+    @property
+    def words(self) -> list[str]:
+        return re.findall(r"[0-9a-z]+", self.text.lower())
+
+    @property
+    def offset(self) -> int:
+        """Where in the words the key phrase stands."""
+        own, key = self.words, self.key.split()
+        return next(o for o in range(len(own)) if own[o : o + len(key)] == key)
 
 
-#: Public licence wordings (SPDX names as labels, lower case); key is a phrase of text that must be there.
+#: Public licence texts and notices; key is a phrase of the text that must be there.
 TEMPLATES = (
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2.0", "this work is licensed under the gnu general public license version 2", "gnu general public license version 2"),
-    Template("lgpl", "licensed under the gnu lesser general public license version", "gnu lesser general public license"),
-    Template("agpl", "licensed under the gnu affero general public license version", "gnu affero general public license"),
-    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
-    Template("cc-by-nd", "licensed under cc by nd 4 0", "cc by nd"),
-    Template("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
-    Template("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
-    Template("mit-release", "released under the mit license", "under the mit license"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and"),
-    Template("mpl", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    Template("gpl", "gnu general public license", "This work is licensed under the GNU General Public License"),
+    Template("apache", "apache license", "Licensed under the Apache License"),
+    Template("cc-by", "cc by", "Licensed under CC BY"),
+    Template("mit", "mit license", "Released under the MIT License"),
+    Template("gpl-3.0", "gnu general public license version 3", "This work is licensed under the GNU General Public License, version 3."),
+    Template("gpl-2.0", "gnu general public license version 2", "This work is licensed under the GNU General Public License, version 2."),
+    Template("gpl-notice", "under the terms of the gnu general public license as published by the free software foundation", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    Template("lgpl", "gnu lesser general public license", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    Template("agpl", "gnu affero general public license", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    Template("apache-2.0", "apache license version 2 0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    Template("cc-by-nc", "cc by nc", "Licensed under CC BY-NC 4.0."),
+    Template("cc-by-sa", "cc by sa", "Licensed under CC BY-SA 4.0."),
+    Template("cc-by-nd", "cc by nd", "Licensed under CC BY-ND 4.0."),
+    Template("cc-by-4.0", "cc by 4 0", "Licensed under CC BY 4.0."),
+    Template("cc-attribution", "creative commons attribution", "This work is licensed under a Creative Commons Attribution 4.0 International License. To view a copy of this license, visit https://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."),
+    Template("mit-release", "under the mit license", "Released under the MIT License."),
+    Template("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    Template("bsd", "redistribution and use in source and binary forms", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    Template("isc", "permission to use copy modify and", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    Template("mpl", "mozilla public license", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    Template("epl", "eclipse public license", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    Template("unlicense", "free and unencumbered software", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    Template("zlib", "this software is provided as is without any express or implied warranty", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions."),
+    Template("bsl-1.0", "boost software license", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"),
 )
-#: Indexed words of a template besides the AGREE rarest of its key, and how many of them must agree on a place.
-RARE, AGREE = 4, 2
+#: Licence words of highest IDF that are looked up in a text, and how many must agree on a place.
+RARE, AGREE = 12, 2
 
 
 def _ascii_lower(word: Column) -> Column:
-    """The word with A-Z lower-cased, or null if it has any other character than ASCII letters and digits."""
-    return F.when(F.octet_length(word) == F.length(word), F.lower(word))
+    """The word with A-Z lower-cased; one with any other character than ASCII letters and digits is no template's."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(word)
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def vocabulary() -> list[str]:
+    return sorted({w for t in TEMPLATES for w in t.words})
+
+
 def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
-    """Documents, and documents with each template word, over the whole table; one number per template word reaches the driver."""
-    vocabulary = sorted({w for t in TEMPLATES for w in t.text.split()})
-    have = F.array_intersect(F.transform(F.filter(words(F.col("text")), lambda w: F.length(w) <= max(map(len, vocabulary))), _ascii_lower), F.array(*map(F.lit, vocabulary)))
-    rows = docs.select(F.explode(have).alias("w")).groupBy("w").count().collect()
-    return docs.count(), {r["w"]: r["count"] for r in rows}
+    """Documents, and documents with each template word, in one scan of the whole table; one number per template word reaches the driver."""
+    have = F.array_intersect(F.transform(words(F.col("text")), _ascii_lower), F.array(*map(F.lit, vocabulary())))
+    rows = docs.select(F.explode(F.concat(F.array(F.lit("")), have)).alias("w")).groupBy("w").count().collect()
+    df = {r["w"]: r["count"] for r in rows}
+    return df.pop("", 0), df
+
+
+def rarity(n: int, df: dict[str, int]) -> dict[str, float]:
+    return {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-9 for w in vocabulary()}
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Places of the base phrases and labels of all documents.
+    """Places of the base phrases, labels and score of all documents.
 
     A null or empty text has no words, no labels ("") and score 0. Places may overlap and all count.
-    The score is 1 where a base phrase stands, else the best candidate's part of its template's IDF
-    weight; rows that repeat an id are scanned each by itself. Other columns are not read.
+    Labels are those of the base phrases and of all templates that stand; the score is the largest
+    part of a template's IDF weight that stands, a template's key phrase alone being a small part of a
+    long one. Of equal candidates any gives the same. A very long text is scanned whole. Rows that
+    repeat an id are scanned each by itself. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n, df = frequencies(docs)
-    idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1e-9 for t in TEMPLATES for w in t.text.split()}
+    idf = rarity(n, df)
+    by_rarity = sorted(idf, key=lambda w: (-idf[w], w))
     postings: dict[str, list[tuple[int, int]]] = {}
+    anchors: set[str] = set()
+    triggers: set[str] = set()
     for i, t in enumerate(TEMPLATES):
-        own, key = t.text.split(), t.key.split()
-        offset = next(o for o in range(len(own)) if own[o : o + len(key)] == key)
-        by_rarity = sorted(range(len(own)), key=lambda j: (-idf[own[j]], j))
-        of_key = [j for j in by_rarity if offset <= j < offset + len(key)]
-        for j in sorted({*by_rarity[:RARE], *of_key[:AGREE]}):
-            postings.setdefault(own[j], []).append((i, j))
-    starts = {p.split()[0] for p in BASE}
-    anchors = sorted(starts | set(postings))
-
-    text_words = words(F.col("text"))
-    longest = max(map(len, anchors))
-    # places of the few words that begin a base phrase or are indexed
-    at = F.filter(F.transform(F.col("words"), lambda w, i: F.when((F.length(w) <= longest) & _ascii_lower(w).isin(anchors), F.struct(i.alias("i"), F.lower(w).alias("w")))), lambda x: x.isNotNull())
-    rows = docs.select("doc_id", text_words.alias("words")).select("*", at.alias("at"))
-
-    def stands(phrase: list[str], place: Column, skip: int = 0) -> Column:
-        out = F.lit(True)
-        for k, w in enumerate(phrase):
-            if k >= skip:
-                out = out & F.coalesce(_ascii_lower(F.get(F.col("words"), place + k)) == w, F.lit(False))
-        return out
+        for j, w in enumerate(t.words):
+            postings.setdefault(w, []).append((i, j))
+        key = sorted(t.key.split(), key=lambda w: (-idf[w], w))
+        anchors |= {*key[:AGREE], t.key.split()[0]}
+        triggers.add(key[0])
+
+    # without any key phrase's rarest word nothing can stand, and words need only be counted
+    some = F.coalesce(F.regexp_like("text", F.lit(rf"(?i)(?:\A|{_GAP})(?:{'|'.join(sorted(triggers))})(?:{_GAP}|\z)")), F.lit(False))
+    empty = F.array().cast("array<string>")
+    rows = docs.select("doc_id", "text", some.alias("some")).select("doc_id", "some", F.when(F.col("some"), F.transform(words(F.col("text")), _ascii_lower)).otherwise(empty).alias("words"), F.when(~F.col("some"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))).alias("counted"))
+    own_rare = F.slice(F.array_intersect(F.array(*map(F.lit, by_rarity)), "words"), 1, RARE)
+    rows = rows.withColumn("look", F.when(F.col("some"), F.array_union(own_rare, F.array(*map(F.lit, sorted(anchors))))).otherwise(empty))
+    at = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("look", w), F.struct(i.alias("i"), w.alias("w")))), lambda x: x.isNotNull())
+    rows = rows.select("doc_id", "words", F.coalesce("counted", F.size("words")).cast("long").alias("n_words"), at.alias("at"))
 
     def places(phrase: list[str]) -> Column:
-        return F.transform(F.filter("at", lambda x: (x["w"] == phrase[0]) & stands(phrase, x["i"], 1)), lambda x: x["i"])
+        whole = F.array(*map(F.lit, phrase))
+        return F.transform(F.filter("at", lambda x: (x["w"] == phrase[0]) & (F.slice(F.col("words"), x["i"] + 1, F.lit(len(phrase))) == whole)), lambda x: x["i"])
 
-    found = {phrase: places(phrase.split()) for phrase in BASE}
-    rows = rows.select("doc_id", "words", "at", *[found[p].alias(f"base{k}") for k, p in enumerate(BASE)])
+    rows = rows.select("*", *[places(p.split()).alias(f"base{k}") for k, p in enumerate(BASE)])
 
     # candidate places: posting lists, shifted and intersected by relative place
     table = F.create_map(*[c for w in sorted(postings) for c in (F.lit(w), F.array(*[F.struct(F.lit(i).alias("t"), F.lit(j).alias("j")) for i, j in postings[w]]))])
-    votes = F.flatten(F.transform(F.filter("at", lambda x: x["w"].isin(sorted(postings))), lambda x: F.transform(F.element_at(table, x["w"]), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["j"]).alias("place")))))
+    votes = F.flatten(F.transform("at", lambda x: F.transform(F.coalesce(F.try_element_at(table, x["w"]), F.array().cast("array<struct<t:int,j:int>>")), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["j"]).alias("place")))))
     rows = rows.withColumn("votes", F.array_sort(votes))
     # equal votes stand side by side: the AGREE-th of a run makes a candidate
     candidates = F.filter(F.transform("votes", lambda v, k: F.when((k >= AGREE - 1) & (F.get(F.col("votes"), k - (AGREE - 1)) == v) & ((k < AGREE) | ~F.coalesce(F.get(F.col("votes"), k - AGREE) == v, F.lit(False))), v)), lambda v: v.isNotNull())
     rows = rows.withColumn("candidates", candidates).drop("votes", "at")
 
-    def weigh(v: Column) -> Column:
-        out = F.lit(None).cast("struct<label:string,part:double>")
-        for i, t in enumerate(TEMPLATES):
-            own, key = t.text.split(), t.key.split()
-            offset = next(o for o in range(len(own)) if own[o : o + len(key)] == key)
-            total = sum(idf[w] for w in own)
-            part = sum((F.when(stands([w], v["place"] + j), idf[w] / total).otherwise(0.0) for j, w in enumerate(own)), F.lit(0.0))
-            out = F.when((v["t"] == i) & stands(key, v["place"] + offset), F.struct(F.lit(t.label).alias("label"), F.least(part, F.lit(1.0)).alias("part"))).otherwise(out)
-        return out
-
-    rows = rows.withColumn("verified", F.filter(F.transform("candidates", weigh), lambda x: x.isNotNull()))
-    every = F.concat(*[F.col(f"base{k}") for k in range(len(BASE))])
+    strings = lambda own: F.array(*map(F.lit, own))
+    weights = {t.label: [idf[w] / sum(idf[x] for x in t.words) for w in t.words] for t in TEMPLATES}
+    every = F.array(*[F.struct(F.lit(t.label).alias("label"), strings(t.words).alias("words"), F.array(*map(F.lit, weights[t.label])).alias("weights"), strings(t.key.split()).alias("key"), F.lit(t.offset).alias("offset")) for t in TEMPLATES])
+
+    def stands(v: Column) -> Column:
+        """The candidate's label and part, or null where its key phrase does not stand."""
+        t, place = F.get(every, v["t"]), v["place"]
+        begin = place + t["offset"]
+        key = F.slice(F.col("words"), F.greatest(begin, F.lit(0)) + 1, F.size(t["key"])) == t["key"]
+        skip = F.greatest(-place, F.lit(0))  # template words before the text's first
+        left = F.size(t["words"]) - skip
+        found = F.zip_with(F.slice(F.col("words"), place + skip + 1, left), F.slice(t["words"], skip + 1, left), lambda a, b: F.coalesce(a == b, F.lit(False)))
+        part = F.aggregate(F.zip_with(found, F.slice(t["weights"], skip + 1, left), lambda hit, w: F.when(hit, w).otherwise(0.0)), F.lit(0.0), lambda total, w: total + w)
+        return F.when((begin >= 0) & key, F.struct(t["label"].alias("label"), F.least(part, F.lit(1.0)).alias("part")))
+
+    rows = rows.withColumn("verified", F.filter(F.transform("candidates", stands), lambda x: x.isNotNull()))
+    every_place = F.concat(*[F.col(f"base{k}") for k in range(len(BASE))])
     base = F.filter(F.array(*[F.when(F.size(f"base{k}") > 0, F.lit(label)) for k, label in enumerate(BASE.values())]), lambda x: x.isNotNull())
-    return rows.select("doc_id", F.size("words").cast("long").alias("n_words"), every.alias("every"), base.alias("base"), "verified").select(
+    return rows.select("doc_id", "n_words", every_place.alias("every"), base.alias("base"), "verified").select(
         "doc_id",
         "n_words",
         F.size("every").cast("long").alias("n_base"),
@@ -138,5 +171,5 @@ def scan(docs: DataFrame) -> DataFrame:
         F.array_max("every").cast("long").alias("last_word"),
         F.array_join(F.array_sort("base"), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.transform("verified", lambda x: x["label"]))), ",").alias("labels"),
-        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("verified", lambda x: x["part"])), F.lit(0.0))).alias("score"),
+        F.coalesce(F.array_max(F.transform("verified", lambda x: x["part"])), F.lit(0.0)).alias("score"),
     )
