@@ -2,15 +2,17 @@
 
 Frames are lanes: the encoder makes a block of samples a matrix row, the decoder takes one Rice code
 of every frame per step, so both run on whole arrays. Streams are mono, 8 bits, 1024 samples a
-frame, with fixed linear predictors and one Rice partition, or verbatim where that is shorter, a
-STREAMINFO block with MD5 and a seek point for every frame. The reader also takes constant and LPC
+frame, with fixed or fitted (LPC) linear predictors and one Rice partition, or verbatim where that is
+shorter, a STREAMINFO block with MD5 and a seek point for every frame. The reader also takes constant
 subframes, several partitions and escaped ones; it checks CRC-8, CRC-16 and MD5 and raises on damage.
+What is read back becomes PCM blocks, each with the sample it begins at, and bytes are read from those.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +23,10 @@ from pyspark.sql import DataFrame
 from ledgerlark.llm.common import flat
 
 BLOCK, RATE, PAD = 1024, 8000, 64
+#: Order and coefficients' bits of fitted predictors, and how much smaller their residuals must be to be taken.
+ORDER, PRECISION, GAIN = 4, 12, 0.98
+#: Seek points that a table's length can count; a longer stream has no table and is read frame by frame.
+POINTS = ((1 << 24) - 1) // 18
 CHUNK = 4 << 20
 
 
@@ -88,6 +94,31 @@ def _put(out: np.ndarray, end: np.ndarray, value: np.ndarray) -> None:
         out += np.bincount(at[have] - k, part[have], len(out)).astype(np.uint8)
 
 
+def _fitted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whole coefficients, shift and residuals of a predictor of each row, by Levinson and Durbin's recursion on its autocorrelation."""
+    n = x.shape[1]
+    wide = x.astype(np.int64)
+    r = np.stack([(wide[:, k:] * wide[:, : n - k]).sum(axis=1) for k in range(ORDER + 1)], axis=1).astype(float)
+    a, error = np.zeros((len(x), ORDER)), np.maximum(r[:, 0], 1.0)
+    for i in range(ORDER):
+        k = r[:, i + 1].copy()
+        for j in range(i):
+            k -= a[:, j] * r[:, i - j]
+        k = np.clip(k / error, -0.999, 0.999)
+        before = a[:, :i].copy()
+        a[:, i] = k
+        a[:, :i] = before - k[:, None] * before[:, ::-1]
+        error = np.maximum(error * (1 - k * k), 1e-6)
+    top = (1 << (PRECISION - 1)) - 1
+    _, exponent = np.frexp(top / np.maximum(np.abs(a).max(axis=1), 1e-6))
+    shift = np.clip(exponent - 1, 0, 15).astype(np.int64)
+    coefs = np.clip(np.rint(a * (1 << shift)[:, None]), -top, top).astype(np.int64)
+    guess = np.zeros((len(x), n - ORDER), np.int64)
+    for j in range(ORDER):
+        guess += coefs[:, j : j + 1] * wide[:, ORDER - 1 - j : n - 1 - j]
+    return coefs, shift, (wide[:, ORDER:] - (guess >> shift[:, None])).astype(np.int32)
+
+
 def encode(payloads: list[np.ndarray]) -> list[bytes]:
     """A FLAC stream of each payload, uint8 arrays of at least 16 bytes."""
     sizes = np.array([len(p) for p in payloads])
@@ -106,20 +137,25 @@ def encode(payloads: list[np.ndarray]) -> list[bytes]:
         x = samples[begin[lane][:, None] + np.arange(n)]
         first = np.diff(x, axis=1)
         second = np.diff(first, axis=1)
+        coefs, shift, fitted = _fitted(x)
         cost = np.stack([np.abs(r).mean(axis=1) for r in (x, first, second)])
         order = np.argmin(cost, axis=0)
+        lpc = np.abs(fitted).mean(axis=1) < GAIN * cost.min(axis=0)
         u = x.copy()
         u[order == 1, 1:] = first[order == 1]
         u[order == 2, 2:] = second[order == 2]
+        u[lpc, ORDER:] = fitted[lpc]
+        order[lpc] = ORDER
         u = (u << 1) ^ (u >> 31)
         coded = np.arange(n) >= order[:, None]
+        extra = np.where(lpc, 9 + ORDER * PRECISION, 0)  # the predictor's own bits
         mean = (u * coded).sum(axis=1) / (n - order)
         k = np.clip(np.log2(mean * 0.7 + 1e-9).astype(np.int64) + (mean > 1.5), 0, 14)
         width = np.where(coded, (u >> k[:, None]) + 1 + k[:, None], 0)
-        bits = 8 + 8 * order + 10 + width.sum(axis=1)
+        bits = 8 + 8 * order + extra + 10 + width.sum(axis=1)
         plain = bits >= 8 + 8 * n
         body_bits[lane] = np.where(plain, 8 + 8 * n, bits)
-        plans.append((n, lane, x, order, u, coded, k, width, plain))
+        plans.append((n, lane, x, order, u, coded, k, width, plain, lpc, coefs, shift, extra))
     body = -(-body_bits // 8)
     frame_size = head_size + body + 2
     frame_at = np.cumsum(frame_size) - frame_size
@@ -130,9 +166,9 @@ def encode(payloads: list[np.ndarray]) -> list[bytes]:
         ends.append(end.ravel())
         values.append(value.ravel().astype(np.int64))
 
-    for n, lane, x, order, u, coded, k, width, plain in plans:
+    for n, lane, x, order, u, coded, k, width, plain, lpc, coefs, shift, extra in plans:
         start = (frame_at[lane] + head_size[lane]) * 8
-        kind = np.where(plain, 1, 8 + order) << 1
+        kind = np.where(plain, 1, np.where(lpc, 31, 8) + order) << 1
         put(start + 8, kind)
         raw = np.flatnonzero(plain)
         if len(raw):
@@ -141,11 +177,18 @@ def encode(payloads: list[np.ndarray]) -> list[bytes]:
         if not len(rice):
             continue
         start, order, k = start[rice], order[rice], k[rice]
-        for j in range(2):
+        for j in range(ORDER):
             warm = order > j
             if warm.any():
                 put(start[warm] + 16 + 8 * j, x[rice[warm], j] & 0xFF)
-        base = start + 8 + 8 * order + 10
+        own = np.flatnonzero(lpc[rice])
+        if len(own):
+            at, which = start[own] + 8 + 8 * ORDER, rice[own]
+            put(at + 4, np.full(len(own), PRECISION - 1))
+            put(at + 9, shift[which])
+            for j in range(ORDER):
+                put(at + 9 + PRECISION * (j + 1), coefs[which, j] & ((1 << PRECISION) - 1))
+        base = start + 8 + 8 * order + extra[rice] + 10
         put(base, k)
         end = base[:, None] + np.cumsum(width[rice], axis=1)
         code = np.where(coded[rice], (np.int64(1) << k[:, None]) | (u[rice] & ((1 << k[:, None]) - 1)), 0)
@@ -167,7 +210,8 @@ def encode(payloads: list[np.ndarray]) -> list[bytes]:
         points = np.zeros(f, np.dtype([("sample", ">u8"), ("at", ">u8"), ("size", ">u2")]))
         points["sample"], points["at"], points["size"] = np.arange(f) * BLOCK, frame_at[done : done + f] - a, size[done : done + f]
         table = points.tobytes()
-        streams.append(b"fLaC\x00" + len(info).to_bytes(3, "big") + info + b"\x83" + len(table).to_bytes(3, "big") + table + whole[a:b])
+        seek = b"\x83" + len(table).to_bytes(3, "big") + table if f <= POINTS else b""
+        streams.append(b"fLaC" + (b"\x00" if seek else b"\x80") + len(info).to_bytes(3, "big") + info + seek + whole[a:b])
         done += f
     return streams
 
@@ -354,14 +398,16 @@ def _decode_frames(wide: np.ndarray, start: np.ndarray, head: np.ndarray, size:
                 y[:, j] = diffs[j][:, 0]
                 y[:, j:] = np.cumsum(y[:, j:], axis=1)
             x[lane] = y
-    lane = np.flatnonzero(lpc)
-    if len(lane):
-        longest = int(order[lane].max())
-        for i in range(1, most):
-            back = min(i, longest)
-            own = lane[(order[lane] <= i) & (size[lane] > i)]
-            if len(own):
-                x[own, i] += (coefs[own, :back] * x[own, i - back : i][:, ::-1]).sum(axis=1) >> shift[own]
+    for o in np.unique(order[lpc]).tolist():
+        lane = np.flatnonzero(lpc & (order == o))
+        y, by = x[lane].T.copy(), coefs[lane, :o].T.copy()  # a row a sample: lanes that go on are the first ones
+        for i, count in enumerate(np.searchsorted(-size[lane], -np.arange(most), "left").tolist()):
+            if i >= o and count:
+                guess = by[0, :count] * y[i - 1, :count]
+                for j in range(1, o):
+                    guess += by[j, :count] * y[i - 1 - j, :count]
+                y[i, :count] += guess >> shift[lane[:count]]
+        x[lane] = y.T
     taken = -(-bits.at // 8) - start
     back = np.empty(n, np.int64)
     back[order_by] = every
@@ -420,6 +466,16 @@ def blocks(stream: bytes, pcm: np.ndarray) -> list[tuple[int, bytes]]:
     return [(int(a), pcm[int(a) : int(a) + int(n)].tobytes()) for a, _, n in info["points"].tolist()]
 
 
+def read(own: list[tuple[int, bytes]], first: int, size: int) -> bytes:
+    """Samples [first, first + size) from PCM blocks in order: the block that has the first one is found by its offset."""
+    out, at = [], bisect_right(own, first, key=lambda b: b[0]) - 1
+    while size > 0:
+        part = own[at][1][first - own[at][0] :][:size]
+        out.append(part)
+        first, size, at = first + len(part), size - len(part), at + 1
+    return b"".join(out)
+
+
 def payloads(column) -> tuple[list[np.ndarray], list[int]]:
     """Each text's bytes, zeros added up to a positive multiple of 64; and its bytes without them."""
     buf, at = flat(column)
@@ -461,36 +517,44 @@ def stored(docs: DataFrame) -> DataFrame:
 def pcm_blocks(media: DataFrame) -> DataFrame:
     """One row per block of samples: doc_id, first_sample, pcm."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
+            size = np.cumsum(np.diff(flat(batch["media"])[1]))
+            at = [0, *(np.flatnonzero(np.diff(size // CHUNK)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+            for a, b in zip(at, at[1:], strict=False):
+                part = batch.slice(a, b - a)
                 streams = part["media"].to_pylist()
                 rows = [(i, s, p) for i, m, y in zip(part["doc_id"].to_pylist(), streams, decode(streams), strict=True) for s, p in blocks(m, y)]
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "first_sample", "pcm"])
 
-    return media.mapInArrow(read, "doc_id long, first_sample long, pcm binary")
+    return media.mapInArrow(split, "doc_id long, first_sample long, pcm binary")
 
 
-MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+MEDIA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("n_blocks", pa.int64()), ("blocks_sha256", pa.string())])
 
 
 def media_digest(docs: DataFrame) -> DataFrame:
-    """Every text stored as FLAC and read back: sizes, digests and a feature.
+    """Every text stored as FLAC and read back into PCM blocks: sizes, digests and a feature of what the blocks hold.
 
-    A null or empty text is 64 zero bytes. Equal texts give equal values, whatever rows stand beside
-    them; rows that repeat an id each give a row. Other columns are not read.
+    The payload's digest goes over the blocks in order, its last 64 bytes are sought by their sample
+    offset; blocks_sha256 is over each block's offset (8 bytes, little-endian) and samples. A null or
+    empty text is 64 zero bytes. Equal texts give equal values, whatever rows stand beside them; rows
+    that repeat an id each give a row. A very long text is a long stream; one with more frames than a
+    seek table can count is read frame by frame. Other columns are not read.
     """
 
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
             own, size = payloads(batch["text"])
             streams = encode(own)
-            read = decode(streams)
-            data = [y.tobytes() for y in read]
+            pcm = decode(streams)
+            parts = [blocks(s, y) for s, y in zip(streams, pcm, strict=True)]
+            length = [own[-1][0] + len(own[-1][1]) for own in parts]
+            sha = lambda xs: hashlib.sha256(b"".join(xs)).hexdigest()
             yield pa.record_batch([
-                batch["doc_id"], pa.array(size, pa.int64()), pa.array(map(len, data), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in data]), pa.array([zlib.crc32(x[-PAD:]) for x in data], pa.int64()),
-                pa.array(map(len, streams), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in streams]), pa.array(map(_feature, read)),
+                batch["doc_id"], pa.array(size, pa.int64()), pa.array(length, pa.int64()), pa.array([sha(x for _, x in own) for own in parts]), pa.array([zlib.crc32(read(own, n - PAD, PAD)) for own, n in zip(parts, length, strict=True)], pa.int64()),
+                pa.array(map(len, streams), pa.int64()), pa.array([sha([x]) for x in streams]), pa.array(map(_feature, pcm)),
+                pa.array(map(len, parts), pa.int64()), pa.array([sha(x for at, p in own for x in (at.to_bytes(8, "little"), p)) for own in parts]),
             ], schema=MEDIA)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(through, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(through, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long, blocks_sha256 string")
