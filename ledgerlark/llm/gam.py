@@ -201,19 +201,23 @@ def _chunked(batch: pa.RecordBatch):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` labelled rows that are not held out. Rows without a label or id teach nothing; of several labels of an id the largest counts."""
+    """A model from at most `sample` labelled rows that are not held out: those with the least hashes of
+    their ids, rows that repeat an id by their features. Rows without a label or id teach nothing; of
+    several labels of an id the largest counts. Without any label the score is constant.
+    """
     known = labels.selectExpr("cast(doc_id as long) _id", "cast(quality as int) quality").filter(F.col("_id").isNotNull() & F.col("quality").isNotNull())
     known = known.filter(~held_out("_id")).groupBy("_id").agg(F.max("quality").alias("quality"))
     few = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("text", "quality")
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("text", "quality", F.xxhash64("_id").alias("key"), "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _chunked(batch):
                 x = features(part["text"])
-                yield pa.record_batch([pa.array(list(x)), part["quality"]], ["x", "y"])
+                yield pa.record_batch([pa.array(list(x)), part["quality"], part["key"], part["_id"]], ["x", "y", "key", "id"])
 
-    got = rows.mapInArrow(run, "x array<double>, y int").toArrow()
+    # repeated ids multiply rows: the bound holds for the rows themselves
+    got = rows.mapInArrow(run, "x array<double>, y int, key long, id long").orderBy("key", "id", "x").limit(sample).select("x", "y").toArrow()
     x = np.array(got["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     y = np.array(got["y"].to_pylist(), float)
     order = np.lexsort((y, *x.T))  # the same model however the rows arrive
@@ -221,7 +225,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row, from its text alone; a null text counts as empty. Other columns are not read."""
+    """doc_id, held_out, score, predicted of every row, from its text alone; a null text counts as empty.
+
+    Rows that repeat an id are scored each by itself; a very long text's features are those of all of
+    it. An empty table gives no rows. Other columns are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few tables, whatever the input's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +243,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs, in the columns of documents, whose score reaches the threshold."""
+    """The rows of docs, in the columns of documents, whose score reaches the threshold; equal texts all stay or all go."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.common import flat, held_out
 
 SLOTS = 1 << 15
+#: Languages that a model may have; more raise. Its tables are then 64 MB at most.
+LANGUAGES = 512
 ROUNDS, SET_ROUNDS = 8, 3
 CHUNK = 1 << 20
 UND = "und"
@@ -57,7 +59,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and the log probability of each slot in each; counted over all rows that are not held out.
 
     A row counts if its lang is not null and its id not held out. The driver gets one number per
-    language and slot, however large the table.
+    language and slot, however large the table; more than LANGUAGES languages raise ValueError.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,8 +77,10 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.record_batch([pa.array([lang] * (len(have) + 1)), pa.array(np.append(have, -1).astype(np.int32)), pa.array(np.append(own[have], 1))], ["lang", "slot", "n"])
 
     known = docs.filter(F.col("lang").isNotNull() & ~held_out("doc_id")).selectExpr("cast(text as string) text", "cast(lang as string) lang")
-    rows = known.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = known.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).limit(LANGUAGES * (SLOTS + 1) + 1).toArrow()
     names = sorted(set(rows["lang"].to_pylist()))
+    if len(names) > LANGUAGES or rows.num_rows > LANGUAGES * (SLOTS + 1):
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not names:
         return [], np.zeros((SLOTS, 0), np.float32)
     which = np.array([names.index(x) for x in rows["lang"].to_pylist()])
@@ -139,7 +143,8 @@ def predict(docs: DataFrame, names: list[str], logp: np.ndarray) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, from its text alone.
 
     A null text, one without any letter, and every text where no language was learned, is `und`,
-    with score 0. Rows that repeat an id are predicted each by itself. Other columns are not read.
+    with score 0. Rows that repeat an id are predicted each by itself; a very long text by all of its
+    words. Equal proportions go to the language that comes first. Other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast((names, logp))  # languages x slots, whatever the table's size
 

@@ -40,6 +40,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Texts in which white space, case, points, digits and other scripts stand beside each other.
+PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-bar) É1é... 'q'? 中文。字 \u00a0z", "AbC123 e.g. U.S.A., 10,000 -- __x__ #tag @me http://a.b/c?d=e", "naïve Straße ΑΒΓ ñandú \U0001f600 ok"]
 #: A text with this may hold a special token, which is matched before any other step.
 MARK = b"<|"
 SPLITTER = "<|startoftext|>"
@@ -74,7 +76,8 @@ class Encoder:
 
     This tokenizer lower-cases, drops white space and merges neither across it nor between a letter
     and a full stop, comma or the like. So each run of other characters is encoded once, without the
-    case of A-Z and apart from the points after it, and its ids are kept for the next time.
+    case of A-Z and apart from the points after it, and its ids are kept for the next time. A tokenizer
+    that gives other ids for PROBES in this way encodes whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -84,6 +87,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.splitter = self.tokenizer.token_to_id(SPLITTER)
         self.clear()
+        self.in_runs = True
+        ids, bounds, _ = self(pa.array(PROBES))
+        self.in_runs = all(ids[a : b - 1].tolist() == self.tokenizer.encode(x, add_special_tokens=False).ids for x, a, b in zip(PROBES, bounds, bounds[1:], strict=False))
+        self.clear()
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -107,10 +114,13 @@ class Encoder:
             self.clear()
         buf, at = flat(column)
         plain = MARK not in buf.tobytes()
-        if plain:
+        if plain and self.in_runs:
             buf = _LOWER[buf]
         starts, ends, first = word_bounds(buf, at)
-        if plain and len(buf):
+        if not self.in_runs:
+            starts, ends = at[:-1][np.diff(at) > 0], at[1:][np.diff(at) > 0]
+            first = np.searchsorted(starts, at)
+        elif plain and len(buf):
             cut = np.flatnonzero(_LETTER[buf[:-1]] & _POINT[buf[1:]]) + 1
             starts, ends = sorted_set(starts, cut), sorted_set(ends, cut)
             first = np.searchsorted(starts, at)
@@ -193,8 +203,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     A null or empty text is its end id alone. Documents keep their partition's order; each partition
     packs by itself, in parts of about a MB, and carries an open window from part to part, so memory
-    does not grow and nothing is shuffled. Rows that repeat an id are packed each. Other columns are
-    not read. An empty table gives no pieces.
+    does not grow and nothing is shuffled. Rows that repeat an id are packed each; a very long text is
+    cut into as many windows as it fills. Other columns are not read. An empty table gives no pieces.
     """
     path = tokenizer or default_tokenizer()
 
