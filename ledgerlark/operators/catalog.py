@@ -36,6 +36,6 @@ def by_position(rows: DataFrame, position: str, groups: DataFrame, group: str, s
     """
     stop = F.sum(size).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     bounds = groups.select(F.col(group).alias("_group"), (stop - F.col(size)).alias("_from"), stop.alias("_to"))
-    joined = rows.join(F.broadcast(bounds), (F.col(position) >= F.col("_from")) & (F.col(position) < F.col("_to")), "left")
+    joined = rows.join(bounds, (F.col(position) >= F.col("_from")) & (F.col(position) < F.col("_to")), "left")
     found = F.coalesce("_group", F.raise_error(F.lit("more rows than places")).cast("string"))
     return joined.withColumn(group, found).drop("_group", "_from", "_to")

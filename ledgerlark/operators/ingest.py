@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,24 @@ def until_seen(rows: DataFrame, key: list[str], position: str, known: str) -> Da
     return rows.join(first, key).filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop"))).drop("_stop")
 
 
+def fresh(rows: DataFrame, stored: DataFrame, key: str, scan: list[str], position: str, stop_at_seen: bool = False) -> DataFrame:
+    """Rows of scans, newest first by position, whose key the store has not.
+
+    With stop_at_seen a scan ends at its first known row, so an older row behind it is never taken;
+    without it older rows that were missed come too.
+    """
+    known = stored.select(key).distinct().withColumn("_seen", F.lit(True))
+    marked = rows.join(known, key, "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    taken = until_seen(marked, scan, position, "_seen") if stop_at_seen else marked.filter(~F.col("_seen"))
+    return taken.select(*rows.columns)
+
+
+def tally(scans: DataFrame, scan: str, position: str, size: str, total: str, limit: int) -> DataFrame:
+    """Pages with the rows `retrieved` so far in their scan, and the `remaining` pages of `limit` rows as the scan's log counts them."""
+    so_far = F.sum(size).over(Window.partitionBy(scan).orderBy(position))
+    return scans.withColumn("retrieved", so_far).withColumn("remaining", F.floor((F.col(total) - F.col("retrieved")) / limit) + 1)
+
+
 def pages(parts: list[DataFrame]) -> DataFrame:
     """All rows of all pages."""
     return reduce(DataFrame.unionByName, parts)

@@ -23,10 +23,10 @@ def periods_from_json(raw: DataFrame, column: str, as_of: str) -> DataFrame:
 def in_period(rows: DataFrame, dimension: DataFrame, at: Column) -> DataFrame:
     """Rows with each period whose closed range has their time, compared as text: a time on a shared bound is in both.
 
-    The dimension has a row per legislative period, a few dozen at most, so it is broadcast; the
-    range is then a filter over one pass of the rows.
+    The dimension has a row per legislative period, a few dozen; Spark broadcasts it by its size, and
+    the range is then a filter over one pass of the rows.
     """
-    return rows.join(F.broadcast(dimension), (at >= F.col("start")) & (at <= F.col("end")))
+    return rows.join(dimension, (at >= F.col("start")) & (at <= F.col("end")))
 
 
 def coverage(rows: DataFrame, dimension: DataFrame, keys: list[str], at: Column, tagged: Column, chamber: str = "house") -> DataFrame:
@@ -36,7 +36,7 @@ def coverage(rows: DataFrame, dimension: DataFrame, keys: list[str], at: Column,
     """
     counts = in_period(rows.withColumn("_at", at).withColumn("_tag", tagged), dimension.select("period", "start", "end"), F.col("_at"))
     counts = counts.groupBy(*keys, "period").agg(F.count(F.lit(1)).alias("n"), F.count_if("_tag").alias("with_tag"))
-    skeleton = rows.select(*keys).distinct().crossJoin(F.broadcast(dimension))
+    skeleton = rows.select(*keys).distinct().crossJoin(dimension)
     joined = skeleton.join(counts, [*keys, "period"], "left")
     total, tags = F.coalesce("n", F.lit(0)), F.coalesce("with_tag", F.lit(0))
     control = F.when(F.lit(chamber) == "senate", F.col("senate")).otherwise(F.col("house"))

@@ -370,3 +370,57 @@ def node_trees(spark, sf_dir):
     nodes = _registry(spark, sf_dir)
     flat = hierarchy.trees(nodes, "code", ["code", "name"], ["code", "name"], include_tree=False).withColumnRenamed("node", "flat")
     return hierarchy.trees(nodes, "code", ["code", "name"], ["code", "name"]).join(flat, "code")
+
+
+# services
+
+
+@query("SELECT 'committee' AS kind, n_name AS name, 'house' AS chamber, 'r' || n_regionkey AS parent FROM nation UNION ALL SELECT 'meeting', cast(n_nationkey AS VARCHAR), 'senate', '118' FROM nation")
+def service_lists(spark, sf_dir):
+    """Landed lists of the two endpoints, a page a region."""
+    at = f"{_scratch(spark)}/{uuid.uuid4()}"
+    nation = table(spark, sf_dir, "nation")
+    committee = F.struct(F.lit("house").alias("chamber"), F.col("n_name").alias("name"), F.struct(F.concat(F.lit("r"), _text("n_regionkey")).alias("systemCode")).alias("parent"))
+    meeting = F.struct(_text("n_nationkey").alias("eventId"), F.lit("senate").alias("chamber"), F.lit(118).alias("congress"))
+    for folder, name, item in (("committee/house", "committees", committee), ("committee-meeting/118/senate", "committeeMeetings", meeting)):
+        pages = nation.groupBy("n_regionkey").agg(F.collect_list(item).alias(name))
+        body = F.to_json(F.struct(name, F.struct(F.lit(25).alias("count")).alias("pagination"))).alias("value")
+        pages.repartitionById(5, F.col("n_regionkey")).select(body).write.text(f"{at}/{folder}")  # a page a file
+    rows = sources.read_committees(spark, at, "house").select(F.lit("committee").alias("kind"), "name", "chamber", F.col("parent.systemCode").alias("parent"))
+    return rows.unionByName(sources.read_meetings(spark, at, 118, "senate").select(F.lit("meeting").alias("kind"), F.col("eventId").alias("name"), "chamber", _text("congress").alias("parent")))
+
+
+@query("""WITH k AS (SELECT user_id, max(event_id) FILTER (event_id % 5 = 0) AS seen FROM events GROUP BY 1)
+SELECT true AS stopped, e.user_id, e.event_id FROM events e JOIN k USING (user_id) WHERE k.seen IS NULL OR e.event_id > k.seen UNION ALL SELECT false, user_id, event_id FROM events WHERE event_id % 5 <> 0""")
+def high_water_mark(spark, sf_dir):
+    """Scans newest first: up to the first known row, and all that is missing."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", (-F.col("event_id")).alias("place"))
+    stored = rows.filter("event_id % 5 = 0")
+    return ingest.pages([ingest.fresh(rows, stored, "event_id", ["user_id"], "place", stop).select(F.lit(stop).alias("stopped"), "user_id", "event_id") for stop in (True, False)])
+
+
+@query("SELECT o_orderstatus, yr, retrieved, cast(floor((total - retrieved) / cast(250 AS DOUBLE)) + 1 AS BIGINT) AS remaining FROM (SELECT o_orderstatus, yr, cast(sum(n) OVER (PARTITION BY o_orderstatus ORDER BY yr) AS BIGINT) AS retrieved, cast(sum(n) OVER (PARTITION BY o_orderstatus) AS BIGINT) AS total FROM (SELECT o_orderstatus, cast(year(o_orderdate) AS INT) AS yr, count(*) AS n FROM orders GROUP BY 1, 2))")
+def page_tally(spark, sf_dir):
+    pages = table(spark, sf_dir, "orders").groupBy("o_orderstatus", F.year("o_orderdate").alias("yr")).agg(F.count(F.lit(1)).alias("n"))
+    totals = pages.groupBy("o_orderstatus").agg(F.sum("n").alias("total"))
+    return ingest.tally(pages.join(totals, "o_orderstatus"), "o_orderstatus", "yr", "n", "total", 250).select("o_orderstatus", "yr", "retrieved", "remaining")
+
+
+@query(f"WITH l AS ({_LEVELS}) SELECT strftime(make_date(year, m, 1), '%Y-%m-01') AS date, CASE WHEN m <> 2 THEN level END AS level FROM l")
+def series_written(spark, sf_dir):
+    at = f"{_scratch(spark)}/{uuid.uuid4()}"
+    sources.write_series(_levels(spark, sf_dir).select(F.make_date("year", "m", F.lit(15)).alias("date"), F.when(F.col("m") != 2, F.col("level")).alias("level")), at)
+    return sources.read_csv(spark, at, "date string, level double")
+
+
+@query("SELECT n_nationkey, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'a' || n_regionkey END AS note, CASE n_nationkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS items, CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'x' ELSE 'x,y' END AS codes FROM nation")
+def xml_document(spark, sf_dir):
+    """Leaves are trimmed, blank ones null; a tag once or more is a list; attributes are left out."""
+    key = F.col("n_nationkey")
+    tags = F.when(key % 3 == 0, "").when(key % 3 == 1, "<code k='1'>x</code>").otherwise("<code>x</code><code> y </code>")
+    note = F.when(key % 2 == 0, F.concat(F.lit("<note> a"), _text("n_regionkey"), F.lit(" </note>"))).otherwise("<note> </note>")
+    raw = F.concat(F.lit("<api-root id='7'><name>\n "), "n_name", F.lit(" </name>"), note, tags, F.lit("</api-root>"))
+    x = sources.api_document(raw, "name string, note string, code array<string>")
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", x.alias("x"))
+    codes = F.coalesce("x.code", F.array().cast("array<string>"))
+    return rows.select("n_nationkey", fn.strip(F.col("x.name")).alias("name"), F.nullif(fn.strip(F.col("x.note")), F.lit("")).alias("note"), F.size(codes).alias("items"), F.array_join(F.transform(codes, fn.strip), ",").alias("codes"))

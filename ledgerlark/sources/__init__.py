@@ -37,6 +37,23 @@ def read_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return keys.select("list", F.explode(F.from_json(raw, f"array<struct<{schema}>>")).alias("x")).select("list", "x.*")
 
 
+COMMITTEE = "chamber:string,committeeTypeCode:string,name:string,systemCode:string,url:string,updateDate:string,parent:struct<name:string,systemCode:string,url:string>"
+MEETING = "eventId:string,chamber:string,congress:int,updateDate:string,url:string"
+
+
+def read_committees(spark: SparkSession, root: str, chamber: str) -> DataFrame:
+    """The committees of a chamber from the pages landed under committee/<chamber>."""
+    if chamber not in ("house", "senate"):
+        raise ValueError(f"no such chamber: {chamber}")
+    return read_pages(spark, f"{root}/committee/{chamber}", COMMITTEE).drop("list")
+
+
+def read_meetings(spark: SparkSession, root: str, congress: int, chamber: str) -> DataFrame:
+    """The meetings of a congress and chamber from the pages landed under committee-meeting/<congress>/<chamber>."""
+    check_chamber(chamber, congress)
+    return read_pages(spark, f"{root}/committee-meeting/{congress}/{chamber}", MEETING).drop("list")
+
+
 def read_json(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """JSON objects, one a file, read side by side."""
     return spark.read.schema(schema).json(paths, multiLine=True, mode="FAILFAST")
@@ -128,7 +145,7 @@ def credential(given: str | None, variable: str, file: str) -> str:
 
 
 def normalised(raw: Column, schema: str) -> Column:
-    """A struct from JSON text, or from XML where that is no JSON."""
+    """A struct from JSON text, or from XML where that is no JSON: leaves trimmed, blank ones null, repeated tags lists, attributes only if the schema has them."""
     return F.when(F.try_parse_json(raw).isNotNull(), F.from_json(raw, schema)).otherwise(F.from_xml(raw, schema))
 
 
@@ -190,6 +207,11 @@ def replace(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -
     remove(old)
 
 
+def write_series(df: DataFrame, path: str) -> bool:
+    """Monthly series as one CSV by date, dates as the month's first day, nulls empty."""
+    return write_csv(df.withColumn("date", F.date_format("date", "yyyy-MM-01")).coalesce(1).sortWithinPartitions("date"), path)
+
+
 class SourceUnavailable(Exception):
     """A series source that can give nothing now; the others go on."""
 
