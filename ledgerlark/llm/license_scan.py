@@ -12,9 +12,11 @@ score is the part of the template's IDF weight that is found in place.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,8 +72,8 @@ TEMPLATES = (
     Template("zlib", "this software is provided as is without any express or implied warranty", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions."),
     Template("bsl-1.0", "boost software license", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"),
 )
-#: Licence words of highest IDF that are looked up in a text, and how many must agree on a place.
-RARE, AGREE = 12, 2
+#: Licence words of highest IDF that are looked up in a text, the least IDF of those (in a tenth of all documents), and how many must agree on a place.
+RARE, LEAST_IDF, AGREE = 12, math.log(10), 2
 
 
 def _ascii_lower(word: Column) -> Column:
@@ -79,6 +81,11 @@ def _ascii_lower(word: Column) -> Column:
     return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(word)
 
 
+def _constant(value, kind: str) -> Column:
+    """A nested constant, as one literal that the optimizer folds."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
@@ -89,7 +96,7 @@ def vocabulary() -> list[str]:
 
 def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
     """Documents, and documents with each template word, in one scan of the whole table; one number per template word reaches the driver."""
-    have = F.array_intersect(F.transform(words(F.col("text")), _ascii_lower), F.array(*map(F.lit, vocabulary())))
+    have = F.array_intersect(F.transform(words(F.col("text")), _ascii_lower), _constant(vocabulary(), "array<string>"))
     rows = docs.select(F.explode(F.concat(F.array(F.lit("")), have)).alias("w")).groupBy("w").count().collect()
     df = {r["w"]: r["count"] for r in rows}
     return df.pop("", 0), df
@@ -111,7 +118,7 @@ def scan(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n, df = frequencies(docs)
     idf = rarity(n, df)
-    by_rarity = sorted(idf, key=lambda w: (-idf[w], w))
+    by_rarity = sorted((w for w in idf if idf[w] >= LEAST_IDF), key=lambda w: (-idf[w], w))
     postings: dict[str, list[tuple[int, int]]] = {}
     anchors: set[str] = set()
     triggers: set[str] = set()
@@ -126,39 +133,42 @@ def scan(docs: DataFrame) -> DataFrame:
     some = F.coalesce(F.regexp_like("text", F.lit(rf"(?i)(?:\A|{_GAP})(?:{'|'.join(sorted(triggers))})(?:{_GAP}|\z)")), F.lit(False))
     empty = F.array().cast("array<string>")
     rows = docs.select("doc_id", "text", some.alias("some")).select("doc_id", "some", F.when(F.col("some"), F.transform(words(F.col("text")), _ascii_lower)).otherwise(empty).alias("words"), F.when(~F.col("some"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))).alias("counted"))
-    own_rare = F.slice(F.array_intersect(F.array(*map(F.lit, by_rarity)), "words"), 1, RARE)
-    rows = rows.withColumn("look", F.when(F.col("some"), F.array_union(own_rare, F.array(*map(F.lit, sorted(anchors))))).otherwise(empty))
-    at = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("look", w), F.struct(i.alias("i"), w.alias("w")))), lambda x: x.isNotNull())
+    own_rare = F.slice(F.array_intersect(_constant(by_rarity, "array<string>"), F.col("words")), 1, RARE)
+    look = F.when(F.col("some"), F.array_union(own_rare, _constant(sorted(anchors), "array<string>"))).otherwise(empty)
+    # a variable of its own, so that it is worked out once for a text and not for each word
+    found = F.transform(F.array(look), lambda own: F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(own, w), F.struct(i.alias("i"), w.alias("w")))), lambda x: x.isNotNull()))
+    at = F.get(found, F.lit(0))
     rows = rows.select("doc_id", "words", F.coalesce("counted", F.size("words")).cast("long").alias("n_words"), at.alias("at"))
 
     def places(phrase: list[str]) -> Column:
-        whole = F.array(*map(F.lit, phrase))
-        return F.transform(F.filter("at", lambda x: (x["w"] == phrase[0]) & (F.slice(F.col("words"), x["i"] + 1, F.lit(len(phrase))) == whole)), lambda x: x["i"])
+        def rest(i: Column) -> Column:
+            return reduce(lambda a, b: a & b, [F.coalesce(F.get(F.col("words"), i + k) == w, F.lit(False)) for k, w in enumerate(phrase) if k])
+
+        return F.transform(F.filter("at", lambda x: (x["w"] == phrase[0]) & rest(x["i"])), lambda x: x["i"])
 
     rows = rows.select("*", *[places(p.split()).alias(f"base{k}") for k, p in enumerate(BASE)])
 
     # candidate places: posting lists, shifted and intersected by relative place
-    table = F.create_map(*[c for w in sorted(postings) for c in (F.lit(w), F.array(*[F.struct(F.lit(i).alias("t"), F.lit(j).alias("j")) for i, j in postings[w]]))])
+    table = _constant({w: [{"t": i, "j": j} for i, j in own] for w, own in sorted(postings.items())}, "map<string,array<struct<t:int,j:int>>>")
     votes = F.flatten(F.transform("at", lambda x: F.transform(F.coalesce(F.try_element_at(table, x["w"]), F.array().cast("array<struct<t:int,j:int>>")), lambda p: F.struct(p["t"].alias("t"), (x["i"] - p["j"]).alias("place")))))
     rows = rows.withColumn("votes", F.array_sort(votes))
     # equal votes stand side by side: the AGREE-th of a run makes a candidate
     candidates = F.filter(F.transform("votes", lambda v, k: F.when((k >= AGREE - 1) & (F.get(F.col("votes"), k - (AGREE - 1)) == v) & ((k < AGREE) | ~F.coalesce(F.get(F.col("votes"), k - AGREE) == v, F.lit(False))), v)), lambda v: v.isNotNull())
     rows = rows.withColumn("candidates", candidates).drop("votes", "at")
 
-    strings = lambda own: F.array(*map(F.lit, own))
     weights = {t.label: [idf[w] / sum(idf[x] for x in t.words) for w in t.words] for t in TEMPLATES}
-    every = F.array(*[F.struct(F.lit(t.label).alias("label"), strings(t.words).alias("words"), F.array(*map(F.lit, weights[t.label])).alias("weights"), strings(t.key.split()).alias("key"), F.lit(t.offset).alias("offset")) for t in TEMPLATES])
+    every = _constant([{"label": t.label, "words": t.words, "weights": weights[t.label], "key": t.key.split(), "offset": t.offset} for t in TEMPLATES], "array<struct<label:string,words:array<string>,weights:array<double>,key:array<string>,offset:int>>")
 
     def stands(v: Column) -> Column:
         """The candidate's label and part, or null where its key phrase does not stand."""
         t, place = F.get(every, v["t"]), v["place"]
         begin = place + t["offset"]
-        key = F.slice(F.col("words"), F.greatest(begin, F.lit(0)) + 1, F.size(t["key"])) == t["key"]
-        skip = F.greatest(-place, F.lit(0))  # template words before the text's first
-        left = F.size(t["words"]) - skip
-        found = F.zip_with(F.slice(F.col("words"), place + skip + 1, left), F.slice(t["words"], skip + 1, left), lambda a, b: F.coalesce(a == b, F.lit(False)))
-        part = F.aggregate(F.zip_with(found, F.slice(t["weights"], skip + 1, left), lambda hit, w: F.when(hit, w).otherwise(0.0)), F.lit(0.0), lambda total, w: total + w)
-        return F.when((begin >= 0) & key, F.struct(t["label"].alias("label"), F.least(part, F.lit(1.0)).alias("part")))
+        # single words are looked at: a slice would copy the whole text's words
+        here = lambda i, w: F.coalesce(F.get(F.col("words"), i) == w, F.lit(False))
+        key = F.forall(F.transform(t["key"], lambda w, k: here(begin + k, w)), lambda x: x)
+        weights = F.transform(t["words"], lambda w, j: F.when(here(place + j, w), F.get(t["weights"], j)).otherwise(0.0))
+        part = F.aggregate(weights, F.lit(0.0), lambda total, w: total + w)
+        return F.when(key, F.struct(t["label"].alias("label"), F.least(part, F.lit(1.0)).alias("part")))
 
     rows = rows.withColumn("verified", F.filter(F.transform("candidates", stands), lambda x: x.isNotNull()))
     every_place = F.concat(*[F.col(f"base{k}") for k in range(len(BASE))])
