@@ -36,7 +36,8 @@ WORDS = 5
 COMMON, MOST_COMMON = 4, 1 << 17
 #: 64-bit words of the trees' odd sketches. Those by which pairs are compared have 2 to 4 bits a shingle.
 SKETCH = 8
-#: Rows of one shingle's run that a task holds; longer runs are split in cells and their cells compared in turn.
+SKETCHED = [f"s{i}" for i in range(SKETCH)]
+#: Rows of one shingle's run or one shard that a task holds; longer runs are split in cells and their cells compared in turn.
 RUN = 200_000
 #: Rows of a small side that are broadcast, after they are counted; more are shuffled.
 SMALL = 1 << 19
@@ -397,9 +398,6 @@ def nodes_of(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>, fine binary, " + ", ".join(f"{c} long" for c in SKETCHED)))
 
 
-SKETCHED = [f"s{i}" for i in range(SKETCH)]
-
-
 def same() -> Column:
     """A hash of the row's text; with the id it finds the row again."""
     return F.xxhash64(F.col("text").cast("string"), F.lit(SEED))
@@ -497,8 +495,8 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
         if one.count() <= SMALL:
             one = F.broadcast(one)
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", same())
-        texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same"))).select("node", "text")
-        # a repeated row gives its set, and so an edge, once more
+        texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same")))
+        texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # equal rows are merged before the shuffle
         sets = shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
         left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("one")), sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
         both = pairs.join(left, "a").join(right, "b")
