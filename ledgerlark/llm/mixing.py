@@ -105,8 +105,8 @@ def plan(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame, int]:
 
     A null or empty text has size 0 and is never drawn; null sources are one source, last in order.
     Rows that repeat an id are planned each by its own text and columns; equal rows are planned
-    together. A very long text counts all its words, and its whole document is taken or not. An empty
-    table gives no rows. A row per source and the table of quotas reach the driver; nothing else does.
+    together. A very long text counts all its words, and its whole document is taken or not. Columns
+    beyond those of documents are not read. An empty table gives no rows. A row per source and the table of quotas reach the driver; nothing else does.
     """
     session = docs.sparkSession
     sized = _keyed(docs).select("_h", "_g", "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))

@@ -3,7 +3,7 @@
 Shared by the two operators that remove repeated passages. They differ in the tokens (words or
 bytes) and in the index that decides inside a shard; this module brings equal windows together:
 
-1. Documents are dealt to buckets of a few MB by a hash of the id. Each window of L tokens is
+1. Documents are dealt to buckets of a few MB by a hash of id and text. Each window of L tokens is
    labelled by its minimiser, the least hash among its k-grams. Consecutive windows with one label
    form a piece, so a text splits into few pieces and equal windows always carry equal labels.
 2. Each bucket sends its distinct labels, packed, to the labels' owners, which send back those that
@@ -191,8 +191,8 @@ def covered(docs: DataFrame, tokens, solve, count_tokens, digest, digest_schema:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     _, size = text_size(docs)
     n_buckets, owners, shards = size // BUCKET_BYTES + 12, size // OWNER_BYTES + 12, size // SHARD_BYTES + 12
-    # xxhash64 skips nulls, so rows without an id are dealt by their text
-    dealt = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(n_buckets)))
+    # rows that repeat an id are dealt by their texts: they remove nothing from each other, wherever they are
+    dealt = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)))
 
     def label_sets(key, table):
         table, t, ids = _bucket(table, tokens)
