@@ -10,10 +10,12 @@ its links; a distributed star contraction joins the shards' forests.
 
 The pipeline keeps one document of each group whose sets of five-word shingles have a Jaccard
 similarity of 0.8 or more. No number of SimHash bits bounds that, so that stage's trees hold odd
-sketches, the parities of a set's shingles in SKETCH cells: two sketches never differ in more bits
+sketches, the parities of a set's shingles in some cells: two sketches never differ in more bits
 than their sets in shingles, so the radius |A ^ B| <= (|A| + |B|) / 9 misses no pair. Shards come
 from a prefix filter, which misses none either: sets that similar share one of their first
 size // 5 + 1 shingles in any common order. What the trees find counts after its exact similarity.
+Groups of near copies around 0.8 have very many such pairs, so pairs stay in the task that finds
+them: it gives its rows' clusters, a row each, which finer sketches divide and whole sets decide.
 """
 
 from __future__ import annotations
@@ -34,9 +36,9 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 WORDS = 5
 #: Shingles that come last in the order of prefixes: those in COMMON sampled texts or more, the MOST_COMMON first.
 COMMON, MOST_COMMON = 4, 1 << 17
-#: 64-bit words of the trees' odd sketches. Those by which pairs are compared have 2 to 4 bits a shingle.
-SKETCH = 8
-SKETCHED = [f"s{i}" for i in range(SKETCH)]
+#: Bytes of the trees' odd sketches: a quarter of the fine ones' (2 to 4 bits a shingle), within these. With
+#: half a bit a shingle and more, sets that share little differ in more bits than similar ones can.
+LEAST_COARSE, MOST_COARSE = 128, 512
 #: Rows of one shingle's run or one shard that a task holds; longer runs are split in cells and their cells compared in turn.
 RUN = 200_000
 #: Rows of a small side that are broadcast, after they are counted; more are shuffled.
@@ -47,6 +49,8 @@ SHARD = 64
 PARTS = 16
 CHUNK = 1 << 21
 PAIRS = 1 << 20
+#: Shingles of a cluster that a task holds as sets; a larger one is cut, and its cuts meet in pairs. Pairs that are merged at once.
+CUT, HELD = 1 << 21, 1 << 14
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -175,6 +179,30 @@ def _components(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
             return label
 
 
+def _merge(pairs: Iterator[tuple[np.ndarray, np.ndarray]], item: np.ndarray, holds=None) -> np.ndarray:
+    """The least item that each item reaches by the pairs of rows (a, b); `holds` is asked for those that do not reach each other yet."""
+    label = np.arange(int(item.max()) + 1)
+
+    def join(held: list, label: np.ndarray) -> np.ndarray:
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        new = label[item[a]] != label[item[b]]
+        a, b = a[new], b[new]
+        if holds is not None and len(a):
+            ok = holds(a, b)
+            a, b = a[ok], b[ok]
+        return _components(item[a], item[b], label) if len(a) else label
+
+    held, many = [], 0
+    for a, b in pairs:
+        new = label[item[a]] != label[item[b]]
+        if new.any():
+            held.append((a[new], b[new]))
+            many += len(held[-1][0])
+        if many >= HELD:
+            label, held, many = join(held, label), [], 0
+    return join(held, label) if held else label
+
+
 def tables(n: int, radius: int = RADIUS) -> list[int]:
     """Masks of bits, such that numbers within the radius agree on one of them at least, and about SHARD of n share a value."""
     for extra in range(1, 5):
@@ -314,14 +342,6 @@ def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(count)))]).astype(np.int64)
 
 
-def sketches(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """Odd sketches of n rows: the parity of the number of shingles in each of 64 * SKETCH cells, as rows of words."""
-    bits = 64 * SKETCH
-    cell = ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
-    odd = (np.bincount(row * bits + cell, minlength=n * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, bits), axis=1, bitorder="little").view(np.uint64)
-
-
 def fine_sketch(hashes: np.ndarray) -> bytes:
     """An odd sketch with a power of two of bits, twice the shingles or more; halving it folds it."""
     bits = max(64, 1 << (2 * max(len(hashes), 1) - 1).bit_length())
@@ -329,6 +349,12 @@ def fine_sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def coarse_sketch(fine: bytes) -> bytes:
+    """A fine sketch folded for the trees; sizes that differ by a factor of two at most do so still."""
+    size = min(len(fine), MOST_COARSE, max(LEAST_COARSE, len(fine) // 4))
+    return np.bitwise_xor.reduce(np.frombuffer(fine, np.uint8).reshape(-1, size), axis=0).tobytes()
+
+
 def _differ(one: bytes, two: bytes) -> int:
     """Bits in which two fine sketches differ, at the size of the smaller one."""
     a, b = int.from_bytes(one, "little"), int.from_bytes(two, "little")
@@ -341,6 +367,48 @@ def _differ(one: bytes, two: bytes) -> int:
     return (a ^ b).bit_count()
 
 
+def _near(sketch, size: np.ndarray, group: np.ndarray, ask: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group whose sketches, at the size of the smaller one, do not rule them out; by BK-trees for each size.
+
+    With ask, pairs of which no row asks are left out.
+    """
+    buf, at = flat(sketch)
+    words, at = np.frombuffer(buf.tobytes(), np.uint64), at // 8
+    width = np.diff(at)
+    ask = np.ones(len(width), bool) if ask is None else ask
+    for w in np.unique(width).tolist():
+        # sets of similar sizes have sketches of one size or its double
+        own, twice = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        values = words[at[own][:, None] + np.arange(w)]
+        if len(twice):
+            folded = words[at[twice][:, None] + np.arange(2 * w)]
+            values = np.concatenate([values, folded[:, :w] ^ folded[:, w:]])
+        own, exact = np.concatenate([own, twice]), len(own)
+        forest = Forest(values, np.unique(group[own], return_inverse=True)[1])
+        n, asks = size[own].astype(np.int64), ask[own]
+        queries = np.flatnonzero(asks)
+        for a in range(0, len(queries), 1 << 12):
+            # the other set has at most 5 / 4 of the shingles
+            for q, found in forest.near(queries[a : a + (1 << 12)], n // 4):
+                ok = (np.minimum(q, found) < exact) & (~asks[found] | (q < found)) & (9 * forest.distance(q, found) <= n[q] + n[found])
+                yield own[q[ok]], own[found[ok]]
+
+
+def _alike(a: np.ndarray, b: np.ndarray, code: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the a-th and b-th sets are similar enough; row i has the different codes from at[i] to at[i + 1]."""
+    size, most = np.diff(at), int(code.max(initial=0)) + 1
+    both = size[a] + size[b]
+    part = np.cumsum(both) // (1 << 22)
+    common = np.zeros(len(a), np.int64)
+    for x in np.split(np.arange(len(a)), np.flatnonzero(np.diff(part)) + 1):
+        rows = np.stack([a[x], b[x]], axis=1).ravel()
+        many = size[rows]
+        place = np.repeat(at[rows] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        key = np.sort(np.repeat(np.arange(len(rows)) // 2, many) * most + code[place])
+        common[x] = np.bincount(key[1:][key[1:] == key[:-1]] // most, minlength=len(x))
+    return 9 * common >= 4 * both
+
+
 def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that many of the sampled texts have, the rarest first, and in about how many rows each is; at most MOST_COMMON reach the driver.
 
@@ -360,9 +428,9 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def nodes_of(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Per row doc_id, same (a hash of its text), node (a hash of its shingle set), size of the set, the set's prefix and sketch.
+    """Per row doc_id, same (a hash of its text), node (a hash of its shingle set), size of the set, the set's prefix and sketches.
 
-    Only the first row of a node that a task meets has prefix and sketch.
+    Only the first row of a node that a task meets has prefix and sketches.
     """
     rank = np.argsort(common)
     common = common[rank]
@@ -388,14 +456,13 @@ def nodes_of(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 many = np.where(first, size // 5 + 1, 0)
                 take = (np.arange(len(row)) - at[row]) < many[row]
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(hashes[order][take].view(np.int64)))
-                sketch = sketches(hashes, row, len(size)).view(np.int64)
-                own = [pa.array(sketch[:, i], mask=~first) for i in range(SKETCH)]
-                fine = pa.array([fine_sketch(hashes[a:b]) if f else None for a, b, f in zip(at, at[1:], first, strict=False)], pa.binary())
-                yield pa.record_batch([part["doc_id"], part["same"], pa.array(node), pa.array(size.astype(np.int32)), prefix, fine, *own], ["doc_id", "same", "node", "size", "prefix", "fine", *SKETCHED])
+                fine = [fine_sketch(hashes[a:b]) if f else None for a, b, f in zip(at, at[1:], first, strict=False)]
+                coarse = [coarse_sketch(x) if x else None for x in fine]
+                yield pa.record_batch([part["doc_id"], part["same"], pa.array(node), pa.array(size.astype(np.int32)), prefix, pa.array(fine, pa.binary()), pa.array(coarse, pa.binary())], ["doc_id", "same", "node", "size", "prefix", "fine", "coarse"])
         release()
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", same())
-    return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>, fine binary, " + ", ".join(f"{c} long" for c in SKETCHED)))
+    return shared_checkpoint(own.mapInArrow(run, "doc_id long, same long, node long, size int, prefix array<long>, fine binary, coarse binary"))
 
 
 def same() -> Column:
@@ -403,20 +470,21 @@ def same() -> Column:
     return F.xxhash64(F.col("text").cast("string"), F.lit(SEED))
 
 
-def _by_run(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """The columns by cell, shingle and node without repeated rows, each row's run of equal cells and shingles, and the runs' lengths."""
+def _by_run(batches: Iterator[pa.RecordBatch], columns: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, pa.Array | None]:
+    """The columns by cell, shingle and node without repeated rows, each row's run of equal cells and shingles, the runs' lengths, and the rows' sketches."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
-        return {c: np.zeros(0, np.int64) for c in columns}, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return {c: np.zeros(0, np.int64) for c in columns}, np.zeros(0, np.int64), np.zeros(0, np.int64), None
     table = pa.Table.from_batches(parts)
-    own = {c: np.asarray(table[c].combine_chunks()) for c in columns}
+    own = {c: table[c].to_numpy() for c in columns}
     order = np.lexsort((own["node"], own["shingle"], own["cell"]))
     own = {c: x[order] for c, x in own.items()}
     begin, new = (np.ones(len(order), bool) for _ in range(2))
     begin[1:] = (own["shingle"][1:] != own["shingle"][:-1]) | (own["cell"][1:] != own["cell"][:-1])
     new[1:] = begin[1:] | (own["node"][1:] != own["node"][:-1])
     own, run = {c: x[new] for c, x in own.items()}, (np.cumsum(begin) - 1)[new]
-    return own, run, np.bincount(run)
+    sketch = table["coarse"].combine_chunks().cast(pa.large_binary()).take(pa.array(order[new])) if "coarse" in table.column_names else None
+    return own, run, np.bincount(run), sketch
 
 
 def _may_be(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -432,13 +500,43 @@ def first_rows(own: DataFrame) -> DataFrame:
     return shared_checkpoint(own.groupBy("node").agg(F.min(row).alias("row")))
 
 
+def clusters(found: DataFrame) -> DataFrame:
+    """node, component, cluster from node, component, lead: components are one cluster if leads join them."""
+    found = shared_checkpoint(found)
+    joined = components(found.select(F.col("component").alias("a"), F.col("lead").alias("b"))).select(F.col("id").alias("_id"), F.col("component").alias("cluster"))
+    return found.select("node", "component").distinct().join(joined, F.col("component") == F.col("_id"), "left").select("node", "component", F.coalesce("cluster", "component").alias("cluster"))
+
+
+def by_cluster(rows: DataFrame, most: int, more: DataFrame) -> DataFrame:
+    """Rows (node, component, cluster, size) with more's columns, those of a cluster in one task, or in cells if it has over `most` shingles."""
+    rows = shared_checkpoint(rows.withColumn("cell", F.lit(0)))
+    large = rows.groupBy("cluster").agg(F.sum("size").alias("all")).filter(F.col("all") > most)
+    large = shared_checkpoint(large.select(F.col("cluster").alias("_cluster"), F.ceil(F.col("all") / most).cast("int").alias("cells")))
+    if (many := large.count()):
+        rows = shared_checkpoint(in_cells(rows.withColumn("cell", F.xxhash64("node")), F.broadcast(large) if many <= SMALL else large, "cluster"))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    return rows.join(more, "node").repartition(max(12, total // most), "cluster", "cell")
+
+
+def _in_clusters(batches: Iterator[pa.RecordBatch]) -> tuple[pa.Table | None, np.ndarray]:
+    """All rows, and the number of each row's cluster and cell."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return None, np.zeros(0, np.int64)
+    table = pa.Table.from_batches(parts).combine_chunks()
+    cluster, cell = (np.unique(table[c].to_numpy(), return_inverse=True)[1].astype(np.int64) for c in ("cluster", "cell"))
+    return table, np.unique(cluster * (int(cell.max()) + 1) + cell, return_inverse=True)[1]
+
+
 def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
     """Edges (a, b) that join the nodes as all pairs with Jaccard similarity >= 0.8 do.
 
     First each row is compared with two rows of each shingle of its prefix, so that a large group
     is one component without all of its pairs. Then the BK-trees of each shingle with rows of several
-    components are asked for what those outside its largest component are near to. `heavy` are
-    shingles with the number of cells, over one, into which their rows are dealt.
+    components are asked for what those outside its largest component are near to. Components that
+    are near are a cluster; fine sketches and then whole sets, each brought to its cluster once, say
+    which of them are one. `heavy` are shingles with the number of cells, over one, into which their
+    rows are dealt.
     """
     session = own.sparkSession
     rows = own.select("node", "size", F.posexplode("prefix").alias("at", "shingle"))
@@ -451,7 +549,7 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
     ddl = "cell int, shingle long, node long, size int, at int"
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, run, length = _by_run(batches, columns)
+        x, run, length, _ = _by_run(batches, columns)
         if not len(run):
             return
         stop = np.cumsum(length)
@@ -471,11 +569,11 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
     if split is not None:  # all cells of a shingle also meet its two leads
         ends = runs.join(F.broadcast(split), F.col("shingle") == F.col("_shingle")).groupBy("_shingle").agg(F.array(F.min("node"), F.max("node")).alias("ends"))
         pairs = pairs.unionAll(runs.join(F.broadcast(ends), F.col("shingle") == F.col("_shingle")).select("node", F.explode("ends").alias("lead")).filter("node <> lead"))
-    prints = own.filter("s0 is not null")
+    prints = own.filter("fine is not null")
+    fine = prints.select("node", F.col("size").alias("n"), "fine").dropDuplicates(["node"])
 
     def close(pairs: DataFrame) -> DataFrame:
         """The pairs whose sketches do not rule them out."""
-        fine = prints.select("node", F.col("size").alias("n"), "fine").dropDuplicates(["node"])
         both = pairs.join(fine.withColumnsRenamed({"node": "a", "n": "n_a", "fine": "one"}), "a").join(fine.withColumnsRenamed({"node": "b", "n": "n_b", "fine": "two"}), "b")
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -486,10 +584,8 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
 
         return both.mapInArrow(near, "a long, b long")
 
-    def exact(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar enough, by their sets."""
-        pairs = shared_checkpoint(close(pairs))
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """node and items, its whole set, from the text of its first row."""
         one = firsts.join(nodes, "node", "left_semi").select("node", F.when(~F.col("row.none"), F.col("row.id")).alias("_id"), F.col("row.same").alias("_same"))
         one = shared_checkpoint(one)
         if one.count() <= SMALL:
@@ -497,7 +593,12 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("same", same())
         texts = texts.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("same") == F.col("_same")))
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # equal rows are merged before the shuffle
-        sets = shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
+        return shared_checkpoint(texts.mapInArrow(whole, "node long, items array<long>"))
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough, by their sets."""
+        pairs = shared_checkpoint(close(pairs))
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("one")), sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
         both = pairs.join(left, "a").join(right, "b")
         return shared_checkpoint(both.filter(9 * F.size(F.array_intersect("one", "two")) >= 4 * (F.size("one") + F.size("two"))).select("a", "b"))
@@ -511,10 +612,10 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
 
     edges = exact(pairs.select(F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")).distinct())
 
-    wide = [*columns, "component", *SKETCHED]
+    wide = [*columns, "component"]
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, run, length = _by_run(batches, wide)
+        x, run, length, sketch = _by_run(batches, wide)
         if not len(run):
             return
         # each run's largest component only answers
@@ -533,26 +634,70 @@ def similar(own: DataFrame, firsts: DataFrame, docs: DataFrame, heavy: list[tupl
         if not len(ask):
             return
         left = np.flatnonzero(mixed[run])
-        place = np.cumsum(mixed[run]) - 1
-        forest = Forest(np.stack([x[c][left] for c in SKETCHED], axis=1).view(np.uint64), run[left])
-        n, at, component, node = (x[c][left].astype(np.int64) for c in ("size", "at", "component", "node"))
-        for a in range(0, len(ask), 1 << 12):
-            # the other set has at most 5 / 4 of the shingles
-            for q, found in forest.near(place[ask[a : a + (1 << 12)]], n // 4):
-                ok = (component[q] != component[found]) & (9 * forest.distance(q, found) <= n[q] + n[found]) & _may_be(n[q], at[q], n[found], at[found])
-                if ok.any():
-                    one, two = node[q[ok]], node[found[ok]]
-                    pair = np.unique(np.stack([np.maximum(one, two), np.minimum(one, two)], axis=1), axis=0)
-                    yield pa.record_batch([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], ["a", "b"])
+        asks = np.zeros(len(run), bool)
+        asks[ask] = True
+        n, at, component = (x[c][left].astype(np.int64) for c in ("size", "at", "component"))
+        names, item = np.unique(component, return_inverse=True)
+        met = np.zeros(len(left), bool)
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for q, found in _near(sketch.take(pa.array(left)), n, run[left], asks[left]):
+                ok = (component[q] != component[found]) & _may_be(n[q], at[q], n[found], at[found])
+                met[q[ok]] = met[found[ok]] = True
+                yield q[ok], found[ok]
+
+        lead = names[_merge(pairs(), item)]
+        node, first = np.unique(x["node"][left][met], return_index=True)
+        own = np.flatnonzero(met)[first]
+        yield pa.record_batch([pa.array(node), pa.array(component[own]), pa.array(lead[item[own]])], ["node", "component", "lead"])
+        release()
+
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, group = _in_clusters(batches)
+        if table is None:
+            return
+        size, component, node = (table[c].to_numpy().astype(np.int64) for c in ("size", "component", "node"))
+        names, item = np.unique(component, return_inverse=True)
+        met = np.zeros(len(node), bool)
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for q, found in _near(table["fine"], size, group):
+                ok = component[q] != component[found]
+                met[q[ok]] = met[found[ok]] = True
+                yield q[ok], found[ok]
+
+        lead = names[_merge(pairs(), item)]
+        yield pa.record_batch([pa.array(node[met]), pa.array(component[met]), pa.array(lead[item[met]])], ["node", "component", "lead"])
+        release()
+
+    def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, group = _in_clusters(batches)
+        if table is None:
+            return
+        items = table["items"].combine_chunks()
+        at = np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy().astype(np.int64))])
+        hashes = items.flatten().to_numpy().view(np.uint64)
+        names, item = np.unique(table["component"].to_numpy(), return_inverse=True)
+        code = np.unique(hashes, return_inverse=True)[1]
+        pairs = _near(pa.array([fine_sketch(hashes[a:b]) for a, b in itertools.pairwise(at.tolist())], pa.binary()), np.diff(at), group)
+        label = _merge(pairs, item, lambda a, b: _alike(a, b, code, at))
+        child = np.flatnonzero(label != np.arange(len(label)))
+        yield pa.record_batch([pa.array(names[child]), pa.array(names[label[child]])], ["a", "b"])
         release()
 
     joined = components(edges).withColumnRenamed("id", "node")
     many = runs.filter("many").select(*columns)
     if split is not None:
         many = in_cells(many, F.broadcast(split), "shingle")
-    many = many.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(prints.select("node", *SKETCHED).dropDuplicates(["node"]), "node").select(*wide)
-    pairs = many.repartition(max(12, parts // 4), "cell", "shingle").mapInArrow(trees, "a long, b long").distinct()
-    return edges.unionAll(exact(pairs))
+    many = many.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(prints.select("node", "coarse").dropDuplicates(["node"]), "node").select(*wide, "coarse")
+    named = "node long, component long, lead long"
+    found = clusters(many.repartition(max(12, parts // 4), "cell", "shingle").mapInArrow(trees, named))
+    # a fine sketch has a sixteenth of its set's bytes at most
+    found = by_cluster(found.join(fine.select("node", F.col("n").alias("size")), "node"), 8 * CUT, fine.select("node", "fine"))
+    found = shared_checkpoint(clusters(found.mapInArrow(finer, named)))
+    sets = sets_of(found.select("node"))
+    found = by_cluster(found.join(sets.select("node", F.size("items").alias("size")), "node"), CUT, sets)
+    return edges.unionAll(shared_checkpoint(found.mapInArrow(decided, "a long, b long")))
 
 
 def similar_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

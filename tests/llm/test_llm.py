@@ -390,6 +390,39 @@ def test_pipeline_keeps_one_of_each_similar_group(spark, monkeypatch, sf, common
     assert sorted(r.doc_id for r in simhash.keep_one(docs.unionByName(more)).collect()) == sorted(least.values())
 
 
+@pytest.mark.parametrize("cut", [1 << 21, 4096])
+def test_near_copies_around_the_threshold_make_few_rows(spark, monkeypatch, cut):
+    """Many texts whose pairs are about as often above as below 0.8, and long ones that share a passage: right groups, and no rows for all pairs."""
+    monkeypatch.setattr(simhash, "CUT", cut, raising=False)
+    random, base = np.random.default_rng(5), [f"w{i}" for i in range(150)]
+    own = []
+    for i in range(500):
+        words = base.copy()
+        for k in random.choice(150, 2, replace=False).tolist():
+            words[k] = f"x{i}y{k}"
+        own.append(" ".join(words))
+    own += [" ".join(base[:9] + [f"l{i}z{k}" for k in range(1500 + i)]) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(own)], "doc_id long, text string, lang string, source string, n_chars long")
+    made, checkpoint = {}, simhash.shared_checkpoint
+
+    def counted(df):
+        out = checkpoint(df)
+        if out.columns[:2] in (["a", "b"], ["node", "component"]):
+            made[len(made)] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "shared_checkpoint", counted)
+    kept = [r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()]
+    sets, group = [shingle_set(t) for t in own], np.arange(len(own))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if group[i] != group[j] and 9 * len(s & sets[j]) >= 4 * (len(s) + len(sets[j])):
+                group[group == max(group[i], group[j])] = min(group[i], group[j])
+    assert 60 < len(set(group.tolist())) < 300
+    assert sorted(kept) == sorted(set(group.tolist()))
+    assert cut < 1 << 21 or max(made.values()) < 8 * len(own), made  # cuts meet in pairs
+
+
 @pytest.mark.parametrize("which", ["docs", "odd", "long"])
 def test_op5(request, rows, which):
     df, rows = request.getfixturevalue(which), {"docs": rows, "odd": odd_rows(), "long": long_rows()}[which]
