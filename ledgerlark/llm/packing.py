@@ -10,7 +10,10 @@ are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -45,6 +48,8 @@ PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-b
 #: A text with this may hold a special token, which is matched before any other step.
 MARK = b"<|"
 SPLITTER = "<|startoftext|>"
+#: Runs of letters a-z, À-Ö, Ø-ö and ø-ÿ alone, which are one word each and in normal form.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _LETTER, _POINT = np.zeros(256, bool), np.zeros(256, bool)
@@ -78,6 +83,9 @@ class Encoder:
     and a full stop, comma or the like. So each run of other characters is encoded once, without the
     case of A-Z and apart from the points after it, and its ids are kept for the next time. A tokenizer
     that gives other ids for PROBES in this way encodes whole texts.
+
+    Runs of LETTERS go to the same model without the steps that find words and normal forms: blanks
+    divide them, and an id that ends a word ends each.
     """
 
     def __init__(self, path: str) -> None:
@@ -86,19 +94,62 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.splitter = self.tokenizer.token_to_id(SPLITTER)
+        self.letters, self.last = self.of_letters(path)
+        self.in_runs = True
+        if not self.same() and self.letters is not None:
+            self.letters = None
+            self.same()
+
+    def of_letters(self, path: str):
+        """A tokenizer for LETTERS and whether an id ends a word; None where the model does not mark that."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None, np.zeros(0, bool)
+        one = Tokenizer.from_file(path)
+        one.normalizer = normalizers.Lowercase()
+        one.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        known = one.get_vocab(with_added_tokens=True)
+        last = np.zeros(max(known.values()) + 1, bool)
+        last[[i for token, i in known.items() if token.endswith(suffix)]] = True
+        return one, last
+
+    def same(self) -> bool:
+        """Whether PROBES have the tokenizer's ids; in_runs is set to it."""
         self.clear()
         self.in_runs = True
         ids, bounds, _ = self(pa.array(PROBES))
         self.in_runs = all(ids[a : b - 1].tolist() == self.tokenizer.encode(x, add_special_tokens=False).ids for x, a, b in zip(PROBES, bounds, bounds[1:], strict=False))
         self.clear()
+        return self.in_runs
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.parts: list[np.ndarray] = []
         self.sizes: list[np.ndarray] = []
 
-    def encode(self, fresh: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, runs: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all runs, one after the other, and each run's number of ids."""
+        easy = np.fromiter((LETTERS.fullmatch(x) is not None for x in runs), bool, len(runs))
+        if self.letters is None or not self.in_runs or not easy.any():
+            return self.encode_any([x.decode("utf-8", "replace") for x in runs], plain)
+        text = b" ".join(x for x, e in zip(runs, easy.tolist(), strict=True) if e).decode()
+        ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        stop = np.flatnonzero(self.last[ids]) + 1
+        if len(stop) != easy.sum():
+            return self.encode_any([x.decode("utf-8", "replace") for x in runs], plain)
+        sizes = np.zeros(len(runs), np.int64)
+        sizes[easy] = np.diff(stop, prepend=0)
+        if easy.all():
+            return ids, sizes
+        others, sizes[~easy] = self.encode_any([x.decode("utf-8", "replace") for x, e in zip(runs, easy.tolist(), strict=True) if not e], plain)
+        of_easy = np.repeat(easy, sizes)
+        out = np.empty(len(of_easy), np.uint32)
+        out[of_easy], out[~of_easy] = ids, others
+        return out, sizes
+
+    def encode_any(self, fresh: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
         if plain and self.splitter is not None:
             # special tokens divide a text before anything else happens to it
             ids = np.array(self.tokenizer.encode_batch_fast([SPLITTER.join(fresh)], add_special_tokens=False)[0].ids, np.uint32)
@@ -130,7 +181,7 @@ class Encoder:
         known, before = self.known, len(self.known)
         code = np.fromiter((known.setdefault(x, len(known)) for x in runs), np.int64, len(runs))[code]
         if len(known) > before:
-            ids, sizes = self.encode([x.decode("utf-8", "replace") for x in list(known)[before:]], plain)
+            ids, sizes = self.encode(list(itertools.islice(known, before, None)), plain)
             self.parts.append(ids)
             self.sizes.append(sizes)
             if len(self.parts) > 1:
@@ -152,6 +203,16 @@ class Encoder:
         return out, bounds, (place + own)[sentence]
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str, changed: int) -> Encoder:
+    return Encoder(path)
+
+
+def encoder_of(path: str) -> Encoder:
+    """A Python worker's encoder, which outlives its tasks with the runs that it knows; a changed file gets a new one."""
+    return _encoder(path, os.stat(path).st_mtime_ns)
+
+
 def cuts(bounds: np.ndarray, sentences: np.ndarray, final: bool) -> np.ndarray:
     """Where windows end, in a stream of documents that begins with a window. Unless final, what
     follows the last cut has no whole window's length yet."""
@@ -239,7 +300,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             yield None
 
         for part in parts():
-            encoder = encoder or Encoder(path)
+            encoder = encoder or encoder_of(path)
             doc_id, ids, bounds, sentences = [], np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
             if part is not None:
                 doc_id = part["doc_id"].to_pylist()
