@@ -10,7 +10,6 @@ are powers of two, which need no padding.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import re
@@ -44,12 +43,14 @@ def default_tokenizer() -> str:
 
 
 #: Texts in which white space, case, points, digits and other scripts stand beside each other.
-PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-bar) É1é... 'q'? 中文。字 \u00a0z", "AbC123 e.g. U.S.A., 10,000 -- __x__ #tag @me http://a.b/c?d=e", "naïve Straße ΑΒΓ ñandú \U0001f600 ok"]
+PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-bar) É1é... 'q'? 中文。字 \u00a0z", "AbC123 e.g. U.S.A., 10,000 -- __x__ #tag @me http://a.b/c?d=e", "naïve Straße à la río ΑΒΓ ñandú \U0001f600 ok"]
 #: A text with this may hold a special token, which is matched before any other step.
 MARK = b"<|"
 SPLITTER = "<|startoftext|>"
-#: Runs of letters a-z, À-Ö, Ø-ö and ø-ÿ alone, which are one word each and in normal form.
-LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Runs of letters a-z, ß-ö and ø-ÿ alone, which are one word each, lower case and in normal form.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Their bytes that a byte-level model does not write as themselves.
+MAPPED = (("\x9f", "\u0141"), ("\xa0", "\u0142"), ("\xad", "\u0143"))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _LETTER, _POINT = np.zeros(256, bool), np.zeros(256, bool)
@@ -108,8 +109,7 @@ class Encoder:
         if not suffix:
             return None, np.zeros(0, bool)
         one = Tokenizer.from_file(path)
-        one.normalizer = normalizers.Lowercase()
-        one.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        one.normalizer, one.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
         known = one.get_vocab(with_added_tokens=True)
         last = np.zeros(max(known.values()) + 1, bool)
         last[[i for token, i in known.items() if token.endswith(suffix)]] = True
@@ -134,7 +134,9 @@ class Encoder:
         easy = np.fromiter((LETTERS.fullmatch(x) is not None for x in runs), bool, len(runs))
         if self.letters is None or not self.in_runs or not easy.any():
             return self.encode_any([x.decode("utf-8", "replace") for x in runs], plain)
-        text = b" ".join(x for x, e in zip(runs, easy.tolist(), strict=True) if e).decode()
+        text = b" ".join(x for x, e in zip(runs, easy.tolist(), strict=True) if e).decode("latin-1")
+        for byte, letter in MAPPED:
+            text = text.replace(byte, letter)
         ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         stop = np.flatnonzero(self.last[ids]) + 1
         if len(stop) != easy.sum():
@@ -203,16 +205,6 @@ class Encoder:
         return out, bounds, (place + own)[sentence]
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(path: str, changed: int) -> Encoder:
-    return Encoder(path)
-
-
-def encoder_of(path: str) -> Encoder:
-    """A Python worker's encoder, which outlives its tasks with the runs that it knows; a changed file gets a new one."""
-    return _encoder(path, os.stat(path).st_mtime_ns)
-
-
 def cuts(bounds: np.ndarray, sentences: np.ndarray, final: bool) -> np.ndarray:
     """Where windows end, in a stream of documents that begins with a window. Unless final, what
     follows the last cut has no whole window's length yet."""
@@ -300,7 +292,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             yield None
 
         for part in parts():
-            encoder = encoder or encoder_of(path)
+            encoder = encoder or Encoder(path)
             doc_id, ids, bounds, sentences = [], np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64)
             if part is not None:
                 doc_id = part["doc_id"].to_pylist()
