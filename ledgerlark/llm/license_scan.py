@@ -21,9 +21,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words are runs of these characters, A-Z lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+#: Words are runs of all characters but \x00-\x2F, \x3A-\x40, \x5B-\x60 and \x7B-\x7F, A-Z lower-cased.
+#: Each is named by itself: Java looks single characters up in a table, but tries ranges one after the other.
+WORD = "[^" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -129,16 +129,17 @@ def scan(docs: DataFrame) -> DataFrame:
         anchors |= {*key[:AGREE], t.key.split()[0]}
         triggers.add(key[0])
 
-    # without any key phrase's rarest word nothing can stand, and words need only be counted
-    some = F.coalesce(F.regexp_like("text", F.lit(rf"(?i)(?:\A|{_GAP})(?:{'|'.join(sorted(triggers))})(?:{_GAP}|\z)")), F.lit(False))
+    # without any key phrase's rarest word nothing can stand, and words are only counted
     empty = F.array().cast("array<string>")
-    rows = docs.select("doc_id", "text", some.alias("some")).select("doc_id", "some", F.when(F.col("some"), F.transform(words(F.col("text")), _ascii_lower)).otherwise(empty).alias("words"), F.when(~F.col("some"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))).alias("counted"))
+    rows = docs.select("doc_id", F.transform(words(F.col("text")), _ascii_lower).alias("words"))
+    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), F.arrays_overlap("words", _constant(sorted(triggers), "array<string>")).alias("some"), "words")
+    rows = rows.select("doc_id", "n_words", "some", F.when(F.col("some"), F.col("words")).otherwise(empty).alias("words"))
     own_rare = F.slice(F.array_intersect(_constant(by_rarity, "array<string>"), F.col("words")), 1, RARE)
     look = F.when(F.col("some"), F.array_union(own_rare, _constant(sorted(anchors), "array<string>"))).otherwise(empty)
     # a variable of its own, so that it is worked out once for a text and not for each word
     found = F.transform(F.array(look), lambda own: F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(own, w), F.struct(i.alias("i"), w.alias("w")))), lambda x: x.isNotNull()))
     at = F.get(found, F.lit(0))
-    rows = rows.select("doc_id", "words", F.coalesce("counted", F.size("words")).cast("long").alias("n_words"), at.alias("at"))
+    rows = rows.select("doc_id", "words", "n_words", at.alias("at"))
 
     def places(phrase: list[str]) -> Column:
         def rest(i: Column) -> Column:

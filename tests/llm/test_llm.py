@@ -442,6 +442,15 @@ def test_op5(request, rows, which):
     assert all(set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1 for r in got)
 
 
+def test_op5_takes_words_once_without_ranges(spark):
+    """One expression per scan goes through the texts, and it looks characters up instead of trying ranges."""
+    plan = license_scan.scan(spark.createDataFrame([(1, "MIT license")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and len(re.findall(r"regexp_|RLIKE", plan)) == 1
+    assert not re.search(r"[^\\]-", license_scan.WORD)
+    ranges = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    assert all(bool(re.fullmatch(license_scan.WORD, c)) == bool(ranges.fullmatch(c)) for c in map(chr, range(0x110000)))
+
+
 def plain_licences(texts):
     """Labels and score of each text: every place where a template's key phrase stands, and the IDF weight in place there."""
     own = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER)) for t in texts]
