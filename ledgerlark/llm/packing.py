@@ -13,6 +13,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import string
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -22,8 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ledgerlark.llm.common import flat, release, sorted_set, word_bounds
-from ledgerlark.llm.windows import _BYTE, mixed
+from ledgerlark.llm.common import IS_WORD, flat, release, sorted_set, word_bounds
 
 LENGTH, END_ID = 2048, 1
 SENTENCE, ELSEWHERE = 2.0, 24.0
@@ -43,7 +43,7 @@ def default_tokenizer() -> str:
 
 
 #: Texts in which white space, case, points, digits and other scripts stand beside each other.
-PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-bar) É1é... 'q'? 中文。字 \u00a0z", "AbC123 e.g. U.S.A., 10,000 -- __x__ #tag @me http://a.b/c?d=e", "naïve Straße à la río ΑΒΓ ñandú \U0001f600 ok"]
+PROBES = ["The cat,  sat. On THE mat!\nNew\tline; a.b,c x:y", " don't 3.5 (foo-bar) É1é... 'q'? 中文。字 \u00a0z", "AbC123 e.g. U.S.A., 10,000 -- __x__ #tag @me http://a.b/c?d=e", "naïve Straße à la río ΑΒΓ ñandú \U0001f600 ok", "x% y$$$ z& é*** ñ' É~ a\"b a=b a[b] {c} d^e f\\g h|i j`k l>m n<o p+q 'r's"]
 #: A text with this may hold a special token, which is matched before any other step.
 MARK = b"<|"
 SPLITTER = "<|startoftext|>"
@@ -53,37 +53,31 @@ LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 MAPPED = (("\x9f", "\u0141"), ("\xa0", "\u0142"), ("\xad", "\u0143"))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_LETTER, _POINT = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER, _SECOND, _POINT = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[0x61:0x7B] = True
-_POINT[list(b".,;:!?")] = True
-
-
-def types(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One run of each different content, and for each run the number of its content."""
-    size = ends - starts
-    if not len(size):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    offset = np.cumsum(size) - size
-    index = np.repeat(np.arange(len(size)), size)
-    rel = np.arange(int(size.sum())) - offset[index]
-    letters = low[starts[index] + rel]
-    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(size.max()), np.uint64(0x9E3779B97F4A7C15))]).astype(np.uint64))
-    _, one, code = np.unique(mixed(np.add.reduceat(_BYTE[letters] * power[rel], offset)), return_index=True, return_inverse=True)
-    if (size == size[one][code]).all() and (letters == low[starts[one][code][index] + rel]).all():
-        return one, code
-    # two contents with one hash: by the bytes themselves
-    data = low.tobytes()
-    _, one, code = np.unique(np.array([data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], object), return_index=True, return_inverse=True)
-    return one, code
+#: What follows 0xC3 in the letters À to ÿ: all but × and ÷.
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_POINT[list(string.punctuation.encode())] = True
+
+
+def types(letters: bytes, size: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The different contents of runs that stand one after the other, in the order of their first places, and for each run the number of its content."""
+    stop = np.cumsum(size)
+    bounds = np.concatenate([[0], stop])
+    code = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]).dictionary_encode().indices.to_numpy().astype(np.int64)
+    # contents are numbered as they come: each new one is over all before
+    new = np.flatnonzero(np.diff(np.maximum.accumulate(code), prepend=-1))
+    return [letters[a:b] for a, b in zip(bounds[new].tolist(), stop[new].tolist(), strict=True)], code
 
 
 class Encoder:
     """Ids of texts.
 
     This tokenizer lower-cases, drops white space and merges neither across it nor between a letter
-    and a full stop, comma or the like. So each run of other characters is encoded once, without the
-    case of A-Z and apart from the points after it, and its ids are kept for the next time. A tokenizer
-    that gives other ids for PROBES in this way encodes whole texts.
+    and ASCII punctuation after it. So each run of other characters is encoded once, without the case
+    of A-Z and apart from what stands after a letter from such a sign on, and its ids are kept for the
+    next time. A tokenizer that gives other ids for PROBES in this way encodes whole texts.
 
     Runs of LETTERS go to the same model without the steps that find words and normal forms: blanks
     divide them, and an id that ends a word ends each.
@@ -131,10 +125,10 @@ class Encoder:
 
     def encode(self, runs: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all runs, one after the other, and each run's number of ids."""
-        easy = np.fromiter((LETTERS.fullmatch(x) is not None for x in runs), bool, len(runs))
+        easy = np.fromiter(map(LETTERS.fullmatch, runs), bool, len(runs))
         if self.letters is None or not self.in_runs or not easy.any():
             return self.encode_any([x.decode("utf-8", "replace") for x in runs], plain)
-        text = b" ".join(x for x, e in zip(runs, easy.tolist(), strict=True) if e).decode("latin-1")
+        text = b" ".join(itertools.compress(runs, easy)).decode("latin-1")
         for byte, letter in MAPPED:
             text = text.replace(byte, letter)
         ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -145,7 +139,7 @@ class Encoder:
         sizes[easy] = np.diff(stop, prepend=0)
         if easy.all():
             return ids, sizes
-        others, sizes[~easy] = self.encode_any([x.decode("utf-8", "replace") for x, e in zip(runs, easy.tolist(), strict=True) if not e], plain)
+        others, sizes[~easy] = self.encode_any([x.decode("utf-8", "replace") for x in itertools.compress(runs, ~easy)], plain)
         of_easy = np.repeat(easy, sizes)
         out = np.empty(len(of_easy), np.uint32)
         out[of_easy], out[~of_easy] = ids, others
@@ -174,16 +168,20 @@ class Encoder:
             starts, ends = at[:-1][np.diff(at) > 0], at[1:][np.diff(at) > 0]
             first = np.searchsorted(starts, at)
         elif plain and len(buf):
-            cut = np.flatnonzero(_LETTER[buf[:-1]] & _POINT[buf[1:]]) + 1
+            letter = _LETTER[buf]
+            letter[1:] |= (buf[:-1] == 0xC3) & _SECOND[buf[1:]]
+            cut = np.flatnonzero(letter[:-1] & _POINT[buf[1:]]) + 1
             starts, ends = sorted_set(starts, cut), sorted_set(ends, cut)
             first = np.searchsorted(starts, at)
-        data = buf.tobytes()
-        one, code = types(buf, starts, ends)
-        runs = [data[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]
+        runs, code = types((buf[IS_WORD[buf]] if self.in_runs else buf).tobytes(), ends - starts)
         known, before = self.known, len(self.known)
-        code = np.fromiter((known.setdefault(x, len(known)) for x in runs), np.int64, len(runs))[code]
-        if len(known) > before:
-            ids, sizes = self.encode(list(itertools.islice(known, before, None)), plain)
+        number = np.fromiter(map(known.get, runs, itertools.repeat(-1)), np.int64, len(runs))
+        fresh = list(itertools.compress(runs, number < 0))
+        number[number < 0] = np.arange(before, before + len(fresh))
+        code = number[code]
+        if fresh:
+            known.update(zip(fresh, range(before, before + len(fresh)), strict=True))
+            ids, sizes = self.encode(fresh, plain)
             self.parts.append(ids)
             self.sizes.append(sizes)
             if len(self.parts) > 1:
@@ -192,17 +190,17 @@ class Encoder:
         ids = self.parts[0] if self.parts else np.zeros(0, np.uint32)
         from_ = np.cumsum(sizes) - sizes
         own = sizes[code]
-        row = np.repeat(np.arange(len(at) - 1), np.diff(first))
         stop = np.cumsum(own)
-        out = np.full(int(own.sum()) + len(at) - 1, END_ID, np.uint32)
-        place = stop - own + row  # of each run; rows before it each have one end id
-        inner = np.arange(int(own.sum())) - np.repeat(stop - own, own)
-        out[np.repeat(place, own) + inner] = ids[np.repeat(from_[code], own) + inner]
-        bounds = np.concatenate([[0], stop])[first] + np.arange(len(at))
+        before = np.concatenate([[0], stop])[first]  # ids before each row without end ids
+        bounds = before + np.arange(len(at))
+        out = np.full(int(bounds[-1]), END_ID, np.uint32)
+        inside = np.ones(len(out), bool)
+        inside[bounds[1:] - 1] = False
+        out[inside] = ids[np.repeat(from_[code] - stop + own, own) + np.arange(int(before[-1]))]
         last = buf[ends - 1]
         sentence = (last == 0x2E) | (last == 0x21) | (last == 0x3F)
         sentence |= np.append(buf, np.uint8(0))[ends] == 0x0A
-        return out, bounds, (place + own)[sentence]
+        return out, bounds, (stop + np.repeat(np.arange(len(at) - 1), np.diff(first)))[sentence]
 
 
 def cuts(bounds: np.ndarray, sentences: np.ndarray, final: bool) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -822,6 +823,22 @@ def test_op8_other_tokenizers_encode_whole_texts():
             assert ids[a : b - 1].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_op8_keeps_words_apart_from_any_punctuation():
+    """A word and the signs after it are one content each, however they are combined; ids are the tokenizer's."""
+    encoder = packing.Encoder(packing.default_tokenizer())
+    words, signs = ["wood", "naïvé", "ÉTÉ", "re", "s", "ß"], [*string.punctuation, "%%%", "$$$", "'s", "''ll", "<\u0338", ".'t"]
+    encoder.clear()
+    encoder(pa.array([f"{w}{x}" for w in words for x in signs]))
+    assert len(encoder.known) <= len(words) + len(signs)
+    texts = [f"{w}{x}{y}" for w in words for x in signs for y in ["", "a", " b", "é", "\u0301", "5"]]
+    texts += ["e\u0301% a×% a÷% A\u0301' x\u00b7! 中% я' ﬁ. ǅ. a\u0338=", "", None, "\n"]
+    assert encoder.in_runs
+    for column in (pa.array(texts), pa.array([" ".join(filter(None, texts))])):
+        ids, bounds, _ = encoder(column)
+        for t, a, b in zip(column.to_pylist(), bounds, bounds[1:], strict=False):
+            assert ids[a : b - 1].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
 def test_op8_takes_letters_by_the_model(monkeypatch):
     encoder = packing.Encoder(packing.default_tokenizer())
     assert encoder.in_runs and encoder.letters is not None
