@@ -41,8 +41,10 @@ COMMON, MOST_COMMON = 4, 1 << 17
 LEAST_COARSE, MOST_COARSE = 128, 512
 #: Rows of one shingle's run or one shard that a task holds; longer runs are split in cells and their cells compared in turn.
 RUN = 200_000
-#: Rows of a small side that are broadcast, after they are counted; more are shuffled.
+#: Rows of a small side that are broadcast, after they are counted; more are shuffled. Also edges that one task joins.
 SMALL = 1 << 19
+#: Small rows of a checkpoint's file.
+FILE = 1 << 18
 #: Fingerprints that a shard should have, about.
 SHARD = 64
 #: Parts in which a component's prints meet its least id.
@@ -275,10 +277,14 @@ def components(edges: DataFrame) -> DataFrame:
     """id, component: the least id reachable, for each id that has an edge; by star contraction with partial aggregation.
 
     Each round hangs every node's larger neighbours on its least one, then its smaller ones; hubs are
-    aggregated before the shuffle and joined by their edges, so no neighbourhood is gathered.
+    aggregated before the shuffle and joined by their edges, so no neighbourhood is gathered. Rounds never
+    add edges, so the count before one bounds the files that it writes; up to SMALL edges, after they
+    are counted, are joined in one task instead, without rounds.
     """
     edges = shared_checkpoint(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    if state[0] <= SMALL:
+        return shared_checkpoint(edges.coalesce(1).mapInArrow(_joined, "id long, component long"))
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -286,13 +292,31 @@ def components(edges: DataFrame) -> DataFrame:
         # all edges now go from larger to smaller
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = shared_checkpoint(small.filter("a <> b").distinct())
+        edges = shared_checkpoint(small.filter("a <> b").distinct().coalesce(files(state[0])))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
         state = now
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, component of a whole graph's edges (a, b), but for the least ids."""
+    parts = [p for p in batches if p.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts)
+    ids, item = np.unique(np.concatenate([table["a"].to_numpy(), table["b"].to_numpy()]), return_inverse=True)
+    label = _components(item[: table.num_rows], item[table.num_rows :], np.arange(len(ids)))
+    child = np.flatnonzero(label != np.arange(len(ids)))
+    yield pa.record_batch([pa.array(ids[child]), pa.array(ids[label[child]])], ["id", "component"])
+    release()
+
+
+def files(rows: int) -> int:
+    """Files for so many small rows: a file costs its task a process of the local file system, however little it holds."""
+    return max(12, rows // FILE)
+
+
 def print_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, print, component_id of every row.
 

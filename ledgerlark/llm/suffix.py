@@ -18,6 +18,22 @@ from ledgerlark.llm.windows import NO_ID, byte_tokens, covered, ids_of
 
 LENGTH = 50
 GRAM = 16
+#: Places that are looked up at once: numpy widens an index and its temporaries are of 64 bits.
+BLOCK = 1 << 18
+
+
+def _at(x: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """x[index], block by block."""
+    out = np.empty(len(index), x.dtype)
+    for a in range(0, len(index), BLOCK):
+        out[a : a + BLOCK] = x[index[a : a + BLOCK]]
+    return out
+
+
+def _put(x: np.ndarray, index: np.ndarray, values: np.ndarray) -> None:
+    """x[index] = values, block by block."""
+    for a in range(0, len(index), BLOCK):
+        x[index[a : a + BLOCK]] = values[a : a + BLOCK]
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -31,7 +47,7 @@ def _types(s: np.ndarray) -> np.ndarray:
 
 
 def _lms(is_s: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    return (np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1).astype(np.int32)
 
 
 def _scatter(sa: np.ndarray, free: np.ndarray, chars: np.ndarray, where: np.ndarray, step: int) -> None:
@@ -138,22 +154,24 @@ def _induce(s: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
 
 def _names(s: np.ndarray, is_s: np.ndarray, order: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
     """Rank of each LMS substring, in text order; equal substrings share one."""
-    end = np.full(len(s), 0, np.int64)
+    end = np.full(len(s), 0, np.int32)
     end[lms[:-1]] = lms[1:]
     end[lms[-1]] = lms[-1]
-    size = end[order] - order + 1
+    size = _at(end, order) - order + 1
+    del end
     same = np.zeros(len(order), bool)
     pairs = np.flatnonzero(size[1:] == size[:-1]) + 1
-    if len(pairs):
-        n = size[pairs]
+    part = np.cumsum(size[pairs], dtype=np.int64) // BLOCK
+    for x in np.split(pairs, np.flatnonzero(np.diff(part)) + 1) if len(pairs) else ():
+        n = size[x].astype(np.int64)
         begin = np.cumsum(n) - n
         step = np.arange(n.sum()) - np.repeat(begin, n)
-        equal = s[np.repeat(order[pairs], n) + step] == s[np.repeat(order[pairs - 1], n) + step]
-        same[pairs] = np.logical_and.reduceat(equal, begin)
+        equal = s[np.repeat(order[x], n) + step] == s[np.repeat(order[x - 1], n) + step]
+        same[x] = np.logical_and.reduceat(equal, begin)
     rank = np.cumsum(~same, dtype=np.int32) - 1
     name = np.empty(len(s), np.int32)
-    name[order] = rank
-    return name[lms], int(rank[-1]) + 1
+    _put(name, order, rank)
+    return _at(name, lms), int(rank[-1]) + 1
 
 
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
@@ -165,7 +183,10 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     first = _induce(s, is_s, lms, k)
     is_lms = np.zeros(len(s), bool)
     is_lms[lms] = True
-    names, count = _names(s, is_s, first[is_lms[first]], lms)
+    first = first[_at(is_lms, first)]
+    del is_lms
+    names, count = _names(s, is_s, first, lms)
+    del first
     if count < len(lms):
         order = lms[suffix_array(names, count)]
     else:
@@ -177,21 +198,23 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, places: np.ndarray, length
     """Permuted common prefixes: for each of `places`, in text order, how many bytes it has in common with
     the suffix before it in the array, up to `length`. Only those of `places` count as such suffixes."""
     phi = np.full(len(text), -1, np.int32)
-    ordered = sa[places[sa]]
-    phi[ordered[1:]] = ordered[:-1]
-    place = np.flatnonzero(phi >= 0).astype(np.int32)
-    before = phi[place]
+    ordered = sa[_at(places, sa)]
+    _put(phi, ordered[1:], ordered[:-1])
+    del ordered
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     words = np.ndarray((len(text) + 1,), np.uint64, padded, strides=(1,))  # the eight bytes from each place on, the first lowest
     out = np.zeros(len(text), np.uint8 if length < 256 else np.int32)
-    for step in range(0, length, 8):
-        x = words[place + step] ^ words[before + step]
-        same = x == 0
-        other = np.flatnonzero(~same)
-        x = x[other]
-        out[place[other]] = np.minimum(step + (np.bitwise_count((x & -x) - np.uint64(1)) >> 3), length)
-        place, before = place[same], before[same]
-    out[place] = length
+    for a in range(0, len(text), BLOCK):
+        place = np.flatnonzero(phi[a : a + BLOCK] >= 0) + a
+        before = phi[place].astype(np.int64)
+        for step in range(0, length, 8):
+            x = words[place + step] ^ words[before + step]
+            same = x == 0
+            other = np.flatnonzero(~same)
+            x = x[other]
+            out[place[other]] = np.minimum(step + (np.bitwise_count((x & -x) - np.uint64(1)) >> 3), length)
+            place, before = place[same], before[same]
+        out[place] = length
     return out
 
 
@@ -213,14 +236,19 @@ def least_ids(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> tupl
     place = (np.repeat((begin - (np.cumsum(count) - count)).astype(np.int32), count) + np.arange(count.sum(), dtype=np.int32)).astype(np.int32)
     owner[place] = np.repeat(np.arange(len(texts), dtype=np.int32), count)
     prefix = common_prefixes(text, sa, owner >= 0, length)
-    sa = sa[owner[sa] >= 0]
-    new = prefix[sa] < length
+    sa = sa[_at(owner, sa) >= 0]
+    new = _at(prefix, sa) < length
     new[0] = True
     at = np.flatnonzero(new)
-    best = np.minimum.reduceat(ids[owner[sa]], at)
-    out = np.empty(len(s), np.int64)
-    out[sa] = np.repeat(best, np.diff(np.append(at, len(sa))))
-    return out[place], count
+    del prefix, new
+    # ids by their ranks, which are half as wide
+    distinct, rank = np.unique(ids, return_inverse=True)
+    best = np.minimum.reduceat(_at(rank.astype(np.int32), _at(owner, sa)), at)
+    del owner
+    out = np.empty(len(s), np.int32)
+    _put(out, sa, np.repeat(best, np.diff(np.append(at, len(sa)))))
+    del sa, at, best
+    return _at(distinct, _at(out, place)), count
 
 
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
